@@ -7,12 +7,18 @@ lines and double-space separated chunks are trimmed and re-joined by one space.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
+
+# The parser travels with the task, so workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements whose whole subtree is dropped ...
 DROPPED_TAGS = ["script", "style", "nav", "footer", "header", "aside", "form"]
@@ -172,7 +178,7 @@ def parse_visible_text(html: str) -> str:
     return " ".join(c for c in chunks if c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def parsed_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Arrow-batched parser; NULL rows pass through untouched."""
     for html in batches:

@@ -236,13 +236,17 @@ def sentiment_score(
 
 
 def text_stats(
-    df: DataFrame, text: str = "text", tokens: str = "tokens", lemmas: str = "lemmas"
+    df: DataFrame, text: str | None = "text", tokens: str = "tokens", lemmas: str = "lemmas"
 ) -> DataFrame:
-    """Length, counts, richness, rounded sentiment and the lemma text."""
+    """Length, counts, richness, rounded sentiment and the lemma text.
+
+    With ``text=None`` the table already has ``text_length``.
+    """
     n = F.size(tokens)
+    if text is not None:
+        df = df.withColumn("text_length", F.char_length(text))
     return (
-        df.withColumn("text_length", F.char_length(text))
-        .withColumn("token_count", n)
+        df.withColumn("token_count", n)
         .withColumn("unique_words", F.size(F.array_distinct(lemmas)))
         .withColumn(
             "vocabulary_richness",
@@ -255,20 +259,24 @@ def text_stats(
 
 def article_tokens(
     pages: DataFrame,
-    html: str = "html",
+    html: str | None = "html",
     mode: str = "auto",
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Clean, gate, normalise and tokenize: the narrow half of the article pipeline."""
-    df = min_text_filter(clean_html(pages, html, mode=mode))
-    df = filter_tokens(tokenize(normalize_text(df)), stop_words=stop_words)
-    return min_token_filter(df).drop(html, "normalized", "words")
+    """Clean, gate, normalise and tokenize: the narrow half of the article pipeline.
+
+    With ``html=None`` the table already has clean ``text``.
+    """
+    df = pages if html is None else clean_html(pages, html, mode=mode).drop(html)
+    df = normalize_text(min_text_filter(df))
+    df = filter_tokens(tokenize(df), stop_words=stop_words)
+    return min_token_filter(df).drop("normalized", "words")
 
 
 def article_features(
     pages: DataFrame,
     key: str = "html_path",
-    html: str = "html",
+    html: str | None = "html",
     mode: str = "auto",
     stop_words: Sequence[str] | None = None,
     categories: Mapping[str, Sequence[str]] | None = None,
@@ -282,17 +290,25 @@ def article_features(
     Without a dictionary the tokens are written once, so pages are parsed only once
     although the corpus words and the features are two passes.
     """
+    labels = ("url", "published", "title")
     df = article_tokens(pages, html, mode, stop_words)
+    df = df.select(
+        key,
+        F.coalesce("source", F.lit("unknown")).alias("source"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in labels],
+        F.char_length("text").alias("text_length"),
+        "tokens",
+    )
     if dictionary is None:
         df = materialize(df)
     df = lemmatize(df, key, lexicon=lexicon, dictionary=dictionary)
     df = sentiment_score(keyword_counts(df, categories=categories), positive=positive, negative=negative)
-    df = text_stats(df)
+    df = text_stats(df, text=None)
     names = config.ECONOMIC_KEYWORDS if categories is None else categories
     return df.select(
         key,
-        F.coalesce("source", F.lit("unknown")).alias("source"),
-        *[F.coalesce(c, F.lit("")).alias(c) for c in ("url", "published", "title")],
+        "source",
+        *labels,
         "text_length",
         "token_count",
         "unique_words",
