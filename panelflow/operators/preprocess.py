@@ -155,6 +155,16 @@ class PanelPreprocessor(_PreprocessorParams, Estimator, DefaultParamsReadable, D
         outputCol="features",
     ):
         super().__init__()
+        self._setDefault(
+            numericCols=[],
+            textCols=[],
+            numericStrategy="median",
+            textStrategy="constant",
+            textFill=0.0,
+            scaler="standard",
+            exact=True,
+            outputCol="features",
+        )
         self._set(**self._input_kwargs)
 
     @staticmethod
@@ -212,6 +222,7 @@ class PanelPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
     @keyword_only
     def __init__(self, *, featureCols=(), fills=(), centers=(), scales=(), outputCol="features"):
         super().__init__()
+        self._setDefault(outputCol="features")
         self._set(**self._input_kwargs)
 
     def feature_names(self) -> list[str]:

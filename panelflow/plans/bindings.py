@@ -60,7 +60,7 @@ def _rates(spark: SparkSession, sf: str, period: Column) -> DataFrame:
         .groupBy("c_nationkey", period.cast("date").alias("date"))
         .agg(money("o_totalprice").alias("amount"), F.count(F.lit(1)).alias("n"))
         .join(nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("date", "country_code", "country_name", F.round(rate, 6).alias("inflation_rate"))
+        .select("date", "country_code", "country_name", rate.alias("inflation_rate"))
     )
 
 
@@ -98,8 +98,8 @@ def indicator_records(spark: SparkSession, sf: str) -> DataFrame:
         .join(nations(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumn("before", F.lag("revenue").over(by_year))
     )
-    growth = F.round(100 * (F.col("revenue") / F.col("before") - 1), 6)
-    interest = F.when(F.col("months") == 12, F.round(100 * F.col("discount") / F.col("n"), 6))
+    growth = 100 * (F.col("revenue") / F.col("before") - 1)
+    interest = F.when(F.col("months") == 12, 100 * F.col("discount") / F.col("n"))
     both = yearly.select(
         "country_code",
         "country_name",
@@ -168,9 +168,7 @@ def uploads(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lower("c_mktsegment"), F.lit(".csv")).alias("file_name"),
         month_start("o_orderdate").alias("date"),
     ).agg(
-        F.round(100 * (money("o_totalprice") / F.count(F.lit(1)) / TYPICAL_ORDER - 1), 6).alias(
-            "inflation_rate"
-        )
+        (100 * (money("o_totalprice") / F.count(F.lit(1)) / TYPICAL_ORDER - 1)).alias("inflation_rate")
     )
 
 

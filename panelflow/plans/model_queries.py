@@ -24,9 +24,9 @@ _OUT = _KEYS + " ".join(f"{c}:f" for c in COLUMNS)
 def _split_ctes(source: dict[str, str], table: str) -> dict[str, str]:
     return {
         **source,
-        "cutoff": f"SELECT max(date) - INTERVAL 12 MONTH AS at FROM {table}",
-        "train": f"SELECT t.* FROM {table} t, cutoff WHERE date <= at",
-        "test": f"SELECT t.* FROM {table} t, cutoff WHERE date > at",
+        "cutoff": f"SELECT max(date) - INTERVAL 12 MONTH AS cut FROM {table}",
+        "train": f"SELECT t.* FROM {table} t, cutoff WHERE date <= cut",
+        "test": f"SELECT t.* FROM {table} t, cutoff WHERE date > cut",
     }
 
 

@@ -76,10 +76,10 @@ def dataset_catalog(spark, sf):
 
 @query(
     "dataset_history",
-    select("date:d inflation_rate:f", "SELECT * FROM panel WHERE country_code = 'FRANCE'", O.chain(O.PANEL)),
+    select("date:d inflation_rate:f", "SELECT * FROM panel WHERE country_code = 'NATION_7'", O.chain(O.PANEL)),
 )
 def dataset_history(spark, sf):
-    history = catalog.dataset_history(B.panel(spark, sf), B.uploads(spark, sf), "FRANCE")
+    history = catalog.dataset_history(B.panel(spark, sf), B.uploads(spark, sf), "NATION_7")
     return history.select("date", "inflation_rate")
 
 

@@ -113,8 +113,7 @@ def read_raw_pages(spark, sf):
         f"{folder}/html", lineSep="\n"
     )
     stored = (
-        spark.read.option("wholetext", True)
-        .text(f"{folder}/html")
+        spark.read.text(f"{folder}/html", wholetext=True)
         .select(F.col("page").alias("page_id"), F.col("_metadata.file_path").alias("html_path"))
     )
     manifest = pages.join(stored, "page_id").select(
@@ -132,13 +131,14 @@ def read_raw_pages(spark, sf):
     "read_feed_entries",
     select(
         "feed_name:s entry_rank:i title:s link:s published:t",
-        "SELECT 'feed' AS feed_name, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS entry_rank, "
+        "SELECT source || '-' || doc_id // 200 AS feed_name, "
+        "row_number() OVER (PARTITION BY source, doc_id // 200 ORDER BY doc_id) AS entry_rank, "
         "'Entry ' || doc_id AS title, 'https://' || source || '.example/' || doc_id AS link, "
         "TIMESTAMP '2024-01-01 06:00:00' + to_days(CAST(n_chars % 60 AS INTEGER)) AS published FROM documents",
     ),
 )
 def read_feed_entries(spark, sf):
-    """One RSS channel per source, written as text and parsed back."""
+    """RSS channels of a source's documents, 200 document numbers each, parsed back from files."""
     path = scratch_path(spark, "feeds")
     day = F.expr("timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(n_chars % 60)")
     item = F.concat(
@@ -161,10 +161,11 @@ def read_feed_entries(spark, sf):
         F.array_join(F.col("items.xml"), ""),
         F.lit("</channel></rss>"),
     )
-    feeds = docs.groupBy("source").agg(items.alias("items"))
-    feeds.select(channel.alias("value")).write.text(path)
-    entries = files.read_feed_entries(spark, path)
-    return entries.select(F.lit("feed").alias("feed_name"), "entry_rank", "title", "link", "published")
+    page = F.concat_ws("-", "source", F.floor(F.col("doc_id") / 200).cast("string"))
+    feeds = docs.groupBy("source", page.alias("feed")).agg(items.alias("items"))
+    feeds.select(channel.alias("value"), "feed").write.partitionBy("feed").text(path)
+    entries = files.read_feed_entries(spark, path, feed_name=F.col("feed"))
+    return entries.select("feed_name", "entry_rank", "title", "link", "published")
 
 
 @query(

@@ -75,8 +75,7 @@ def read_raw_pages(
 ) -> DataFrame:
     """Manifest records joined to their stored HTML; records without a file are skipped."""
     files = (
-        spark.read.option("wholetext", True)
-        .text(html_glob)
+        spark.read.text(html_glob, wholetext=True)
         .select(F.col("value").alias("html"), F.col("_metadata.file_name").alias("file_name"))
     )
     named = manifest.withColumn("file_name", F.element_at(F.split("html_path", "/"), -1))
@@ -104,10 +103,13 @@ def _utc(text: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
-def read_feed_entries(spark: SparkSession, path: str, dialect: str = "rss") -> DataFrame:
-    """Feed entries with their position in the feed (1 = first).
+def read_feed_entries(
+    spark: SparkSession, path: str, dialect: str = "rss", feed_name: Column | None = None
+) -> DataFrame:
+    """Feed entries with their position in the feed (1 = first); one feed document per file.
 
-    ``feed_name`` is the file stem.  RSS gives ``link``; Atom gives ``links``.
+    ``feed_name`` is the file stem unless given (a partition column of ``path``, say).  RSS
+    gives ``link``; Atom gives ``links``.
     """
     rss = dialect == "rss"
     channels = (
@@ -116,8 +118,10 @@ def read_feed_entries(spark: SparkSession, path: str, dialect: str = "rss") -> D
         .schema(_RSS if rss else _ATOM)
         .load(path)
     )
+    if feed_name is None:
+        feed_name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]+$", "")
     entries = channels.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]+$", "").alias("feed_name"),
+        feed_name.alias("feed_name"),
         F.posexplode("item" if rss else "entry").alias("pos", "e"),
     )
     if rss:
