@@ -20,6 +20,12 @@ def half_even(col: Column, digits: int = 4) -> Column:
     return F.bround(col, digits)
 
 
+def exact_mean(col: str, digits: int = 4) -> Column:
+    """Mean of values rounded to ``digits``: the decimal sum does not depend on row order."""
+    total = F.sum(F.col(col).cast(f"decimal(18,{digits})")).cast("double")
+    return F.when(F.count(col) > 0, total / F.count(col))
+
+
 def one_row(df: DataFrame, *aggregates: Column) -> Column:
     """Named aggregates over ``df`` as one struct, usable as a scalar subquery.
 

@@ -98,7 +98,7 @@ def adjacent_pairs(tokens: Column) -> Column:
     return F.zip_with(
         F.slice(tokens, F.lit(1), pairs),
         F.slice(tokens, F.lit(2), pairs),
-        lambda left, right: F.concat_ws(" ", left, right),
+        lambda left, right: F.concat(left, F.lit(" "), right),
     )
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from panelflow.functions.calendar import year_month
-from panelflow.functions.numbers import one_row
+from panelflow.functions.numbers import exact_mean, one_row
 from panelflow.operators.tfidf import keyword_columns
 
-MEAN_FEATURES = ["sentiment_score", "tfidf_mean", "vocabulary_richness"]
+ROUNDED_SCORES = ["sentiment_score", "vocabulary_richness"]
 
 
 def parse_published(df: DataFrame, published: str = "published") -> DataFrame:
@@ -22,7 +22,9 @@ def parse_published(df: DataFrame, published: str = "published") -> DataFrame:
 
 def monthly_text_features(df: DataFrame) -> DataFrame:
     """One row per month: means of scores, sums of keyword counts, article count."""
-    means = [F.avg(c).alias(f"text_{c}") for c in MEAN_FEATURES if c in df.columns]
+    means = [exact_mean(c).alias(f"text_{c}") for c in ROUNDED_SCORES if c in df.columns]
+    if "tfidf_mean" in df.columns:
+        means.append(F.avg("tfidf_mean").alias("text_tfidf_mean"))
     sums = [F.sum(c).alias(f"text_{c}") for c in keyword_columns(df)]
     return df.groupBy("year_month").agg(*means, *sums, F.count(F.lit(1)).alias("text_article_count"))
 
@@ -45,7 +47,7 @@ def text_summary(articles: DataFrame, monthly: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("articles"),
         F.coalesce(F.sum("token_count"), F.lit(0)).alias("total_tokens"),
         F.avg("token_count").alias("avg_tokens"),
-        F.avg("sentiment_score").alias("avg_sentiment"),
+        exact_mean("sentiment_score").alias("avg_sentiment"),
         totals.alias("keyword_totals"),
     ).select(
         "*", months["months"].alias("months"), months["per_month"].alias("avg_articles_per_month")

@@ -83,8 +83,9 @@ def scale_values(
     return stats.agg(*out)
 
 
-def _as_struct(row: DataFrame) -> Column:
-    return row.select(F.struct(*row.columns).alias("stats")).scalar()
+def _with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """``df`` with a one-row table as the struct ``_fit``: one subquery, not one per use."""
+    return df.withColumn("_fit", row.select(F.struct(*row.columns).alias("fit")).scalar())
 
 
 def impute(
@@ -95,15 +96,15 @@ def impute(
     fill: float = 0.0,
     exact: bool = True,
 ) -> DataFrame:
-    stats = _as_struct(fill_values(train, cols, strategy, fill, exact))
-    return apply_to.withColumns({c: F.coalesce(_number(c), stats[c]) for c in cols})
+    fills = _with_row(apply_to, fill_values(train, cols, strategy, fill, exact))
+    return fills.withColumns({c: F.coalesce(_number(c), F.col("_fit")[c]) for c in cols}).drop("_fit")
 
 
 def _scale(train: DataFrame, apply_to: DataFrame, cols: Sequence[str], scaler: str, exact: bool) -> DataFrame:
-    stats = _as_struct(scale_values(train, cols, scaler, exact))
-    return apply_to.withColumns(
-        {c: (_number(c) - stats[f"{c}__center"]) / stats[f"{c}__scale"] for c in cols}
-    )
+    scaled = {
+        c: (_number(c) - F.col("_fit")[f"{c}__center"]) / F.col("_fit")[f"{c}__scale"] for c in cols
+    }
+    return _with_row(apply_to, scale_values(train, cols, scaler, exact)).withColumns(scaled).drop("_fit")
 
 
 def scale_standard(train: DataFrame, apply_to: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from panelflow import config
 from panelflow.functions import html as H
 from panelflow.functions import text as T
 from panelflow.functions.numbers import half_even
+from panelflow.functions.once import with_computed
 from panelflow.session import fits_broadcast, materialize
 
 # Noun endings and what replaces them.
@@ -44,7 +45,7 @@ def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str =
     )
     native = H.native_text(F.col("_untagged"))
     if mode == "native":
-        return staged.withColumn(out, native).drop("_stripped", "_untagged")
+        return with_computed(staged, **{out: native}).drop("_stripped", "_untagged")
     if mode != "auto":
         raise ValueError(f"unknown mode: {mode}")
     irregular = H.is_irregular(F.col(html), F.col("_stripped"), F.col("_untagged"))
@@ -268,9 +269,9 @@ def article_tokens(
     With ``html=None`` the table already has clean ``text``.
     """
     df = pages if html is None else clean_html(pages, html, mode=mode).drop(html)
-    df = normalize_text(min_text_filter(df))
-    df = filter_tokens(tokenize(df), stop_words=stop_words)
-    return min_token_filter(df).drop("normalized", "words")
+    words = T.word_tokens(T.normalized(F.col("text")))
+    tokens = T.content_tokens(words, stop_words)
+    return min_token_filter(with_computed(min_text_filter(df), tokens=tokens))
 
 
 def article_features(

@@ -9,29 +9,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelflow import config
 from panelflow.functions.numbers import one_row
 from panelflow.functions.text import adjacent_pairs
+from panelflow.session import broadcast_if_small, materialize
 
-# A vocabulary of this size (term, idf) is a few megabytes and may be broadcast.
-BROADCAST_TERMS = 200_000
+# Up to this many words may stand in a plan as literals (looked up as a hash set).
+LITERAL_WORDS = 5_000
 
 
-def document_terms(text: Column, ngram: tuple[int, int] = (1, 2)) -> Column:
-    """Unigrams of two or more characters, then adjacent pairs of them."""
-    words = F.filter(F.split(text, r"\W+"), lambda t: F.length(t) >= 2)
+def document_words(text: Column) -> Column:
+    """Words of two or more characters."""
+    return F.filter(F.split(text, r"\W+"), lambda t: F.length(t) >= 2)
+
+
+def document_terms(words: Column, ngram: tuple[int, int] = (1, 2)) -> Column:
+    """Unigrams, pairs of neighbours, or both.  ``words`` should be a plain column: it is
+    used often."""
     if ngram == (1, 1):
         return words
+    if ngram == (2, 2):
+        return adjacent_pairs(words)
     if ngram == (1, 2):
         return F.concat(words, adjacent_pairs(words))
-    raise ValueError("ngram must be (1, 1) or (1, 2)")
+    raise ValueError("ngram must be (1, 1), (2, 2) or (1, 2)")
 
 
 def term_frequencies(
-    docs: DataFrame, key: str, text: str = "clean_text", ngram: tuple[int, int] = (1, 2)
+    docs: DataFrame,
+    key: str,
+    text: str = "clean_text",
+    ngram: tuple[int, int] = (1, 2),
+    only_terms: Sequence[str] | None = None,
+    only_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """``(key, term, tf)`` without a shuffle.
 
     A document is one row, so its terms are counted in place: sort the terms, find where
-    runs start, and take the distance between starts.
+    runs start, and take the distance between starts.  ``only_terms`` keeps listed terms;
+    ``only_words`` keeps terms all of whose words are listed.
     """
+    words = docs.select(key, document_words(F.col(text)).alias("words"))
+    if only_words is not None:
+        # An unlisted word becomes NULL but stays in place, so neighbours stay neighbours.
+        words = words.select(
+            key, F.transform("words", lambda w: F.when(w.isin(list(only_words)), w)).alias("words")
+        )
+        terms = F.filter(document_terms(F.col("words"), ngram), lambda t: t.isNotNull())
+    else:
+        terms = document_terms(F.col("words"), ngram)
+    if only_terms is not None:
+        terms = F.filter(terms, lambda t: t.isin(list(only_terms)))
     # A term opposite its sorted predecessor; equal neighbours leave NULL.
     heads = F.zip_with("s", F.concat(F.array(F.lit("")), "s"), lambda a, b: F.when(a != b, a))
     starts = F.filter(
@@ -47,11 +72,17 @@ def term_frequencies(
         lambda run, end: F.struct(run["term"].alias("term"), (end - run["at"]).alias("tf")),
     )
     return (
-        docs.select(key, F.sort_array(document_terms(F.col(text), ngram)).alias("s"))
-        .filter(F.size("s") > 0)
+        words.select(key, F.sort_array(terms).alias("s"))
         .withColumn("starts", starts)
-        .select(key, F.explode(runs).alias("t"))
-        .select(key, "t.term", "t.tf")
+        .select(key, F.inline(runs))
+        .filter(F.col("term").isNotNull())
+    )
+
+
+def term_totals(frequencies: DataFrame) -> DataFrame:
+    """``(term, df, total)``; counts are combined per task before the shuffle by term."""
+    return frequencies.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")
     )
 
 
@@ -69,17 +100,31 @@ def tfidf_vocabulary(
     max_df: float = config.MAX_DOCUMENT_SHARE,
     ngram: tuple[int, int] = (1, 2),
 ) -> DataFrame:
-    """``(term, df, total, idf)`` of the kept terms.
+    """``(term, df, total, idf)`` of the kept terms, ties by term.
 
-    One shuffle by term with partial counts; the final choice is a top-n.
+    With pairs, single words are counted first.  A pair is no more frequent than either
+    of its words, so once ``max_features`` words qualify, only pairs of words that reach
+    the last one's total can enter the vocabulary: far fewer rows than all pairs.  Where
+    the list of such words is long, all pairs are counted.
     """
     documents = one_row(docs, F.count(F.lit(1)).alias("n"))["n"]
+    qualifies = (F.col("df") >= min_df) & (F.col("df") <= documents * F.lit(max_df))
+    largest_first = [F.desc("total"), F.col("term")]
+    if ngram == (1, 2):
+        words = materialize(term_totals(term_frequencies(docs, key, text, (1, 1))))
+        reach = words.filter(qualifies).orderBy(*largest_first).limit(max_features).agg(
+            F.when(F.count(F.lit(1)) == max_features, F.min("total")).alias("reach")
+        )
+        frequent = words.filter(F.col("total") >= F.coalesce(reach.scalar(), F.lit(0)))
+        listed = [r["term"] for r in frequent.select("term").limit(LITERAL_WORDS + 1).collect()]
+        only_words = listed if len(listed) <= LITERAL_WORDS else None
+        pairs = term_totals(term_frequencies(docs, key, text, (2, 2), only_words=only_words))
+        totals = words.unionByName(pairs)
+    else:
+        totals = term_totals(term_frequencies(docs, key, text, ngram))
     return (
-        term_frequencies(docs, key, text, ngram)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-        .filter((F.col("df") >= min_df) & (F.col("df") <= documents * F.lit(max_df)))
-        .orderBy(F.desc("total"), "term")
+        totals.filter(qualifies)
+        .orderBy(*largest_first)
         .limit(max_features)
         .withColumn("idf", F.log((F.lit(1.0) + documents) / (F.lit(1.0) + F.col("df"))) + 1.0)
     )
@@ -91,13 +136,20 @@ def _raw_weights(
     key: str,
     text: str,
     ngram: tuple[int, int],
-    max_features: int,
 ) -> DataFrame:
+    """``(key, term, tf, w)`` for vocabulary terms.
+
+    A short vocabulary also thins out the terms before they are counted; one beyond the
+    broadcast limit is joined by shuffle.
+    """
     lookup = vocabulary.select("term", "idf")
-    if max_features <= BROADCAST_TERMS:
+    listed = [r["term"] for r in vocabulary.select("term").limit(LITERAL_WORDS + 1).collect()]
+    if len(listed) <= LITERAL_WORDS:
         lookup = F.broadcast(lookup)
+    else:
+        listed, lookup = None, broadcast_if_small(lookup)
     return (
-        term_frequencies(docs, key, text, ngram)
+        term_frequencies(docs, key, text, ngram, only_terms=listed)
         .join(lookup, "term")
         .select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
     )
@@ -109,14 +161,13 @@ def tfidf_weights(
     key: str,
     text: str = "clean_text",
     ngram: tuple[int, int] = (1, 2),
-    max_features: int = config.MAX_TERMS,
 ) -> DataFrame:
     """``(key, term, tf, weight)`` with unit Euclidean length per document.
 
-    The window holds one document's vocabulary terms, at most ``max_features`` rows.
+    The window holds one document's terms, at most as many as the vocabulary has.
     """
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    raw = _raw_weights(docs, vocabulary, key, text, ngram, max_features)
+    raw = _raw_weights(docs, vocabulary, key, text, ngram)
     return raw.withColumn("weight", F.col("w") / norm).drop("w")
 
 
@@ -137,10 +188,10 @@ def tfidf_mean(
     """
     corpus = eligible(docs, min_tokens)
     if vocabulary is None:
-        vocabulary = tfidf_vocabulary(corpus, key, text, max_features, ngram=ngram)
+        vocabulary = materialize(tfidf_vocabulary(corpus, key, text, max_features, ngram=ngram))
     size = one_row(vocabulary, F.count(F.lit(1)).alias("n"))["n"]
     means = (
-        _raw_weights(corpus, vocabulary, key, text, ngram, max_features)
+        _raw_weights(corpus, vocabulary, key, text, ngram)
         .groupBy(key)
         .agg(F.sum("w").alias("s"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
         .select(key, (F.col("s") / F.col("norm") / size).alias(out))
@@ -148,5 +199,14 @@ def tfidf_mean(
     return docs.join(means, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 
+def corpus_features(articles: DataFrame, key: str) -> DataFrame:
+    """Article features with ``tfidf_mean``.
+
+    The features are written once, since document count, vocabulary, weights and the
+    result are four reads of them.
+    """
+    return tfidf_mean(materialize(articles), key)
+
+
 def keyword_columns(df: DataFrame) -> Sequence[str]:
     return [c for c in df.columns if c.startswith("keyword_")]

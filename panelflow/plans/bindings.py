@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from panelflow.functions.calendar import month_start
 from panelflow.operators.frontier import page_identity
 from panelflow.operators.panel import indicator_series, merge_indicators, series_column
+from panelflow.session import fill_cores
 
 # Mean order value against which a nation's deviation in percent is its "rate".
 TYPICAL_ORDER = 250_000
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of long texts, which comes as a single row group."""
+    return fill_cores(table(spark, sf, name))
+
+
 def money(col: str) -> Column:
     """Exact sums of two-decimal amounts, whatever the order of summation."""
     return F.sum(F.col(col).cast("decimal(18,2)")).cast("double")
@@ -192,7 +198,7 @@ def upload_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as clean articles dated over the panel's months."""
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id",
         "text",
         "source",
@@ -216,7 +222,7 @@ def marked_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").cast("string"),
         F.lit("&x=1 or www.example.org, mail me@news.example 42%\u00a0cannot wanna"),
     )
-    return table(spark, sf, "documents").select("doc_id", F.concat("text", tail).alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", F.concat("text", tail).alias("text"))
 
 
 CRAWL_DAY = "2024-03-01"
@@ -224,7 +230,7 @@ CRAWL_DAY = "2024-03-01"
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """HTML pages with crawl metadata."""
-    pages = table(spark, sf, "pages").withColumn("source", F.lit(None).cast("string"))
+    pages = texts(spark, sf, "pages").withColumn("source", F.lit(None).cast("string"))
     return page_identity(pages, F.lit(CRAWL_DAY).cast("date")).select(
         "page_id",
         F.col("file_name").alias("html_path"),

@@ -15,6 +15,7 @@ from panelflow.plans import oracle as O
 from panelflow.plans.panel_queries import numeric_features, spine, yearly
 from panelflow.plans.registry import query, select
 from panelflow.plans.text_queries import monthly_features
+from panelflow.session import materialize
 
 _KEYS = "country_code:s date:d "
 COLUMNS = [c for c in config.NUMERIC_FEATURES if not c.startswith("month_")]
@@ -41,11 +42,8 @@ def _fitted(columns, fit: str, formula: str, source: str = "train") -> str:
 
 
 def _parts(spark, sf):
-    """Training and test rows of the numeric feature table.
-
-    Each plan reads the tables itself, as rows on shared storage would be read.
-    """
-    return timeseries.temporal_split(numeric_features(spark, sf))
+    """Training and test rows of the numeric feature table, which is written first."""
+    return timeseries.temporal_split(materialize(numeric_features(spark, sf)))
 
 
 def _keyed(df):
@@ -178,7 +176,7 @@ _PREPARED = {
 )
 def preprocess_features(spark, sf):
     features = timeseries.build_features(B.panel(spark, sf), monthly_features(spark, sf), yearly(spark, sf))
-    train, test = timeseries.temporal_split(features)
+    train, test = timeseries.temporal_split(materialize(features))
     return preprocess.preprocess(train, test)
 
 
@@ -217,7 +215,7 @@ def train_default(spark, sf):
 
 @query("search_hyperparameters")
 def search_hyperparameters(spark, sf):
-    train, validation, _ = timeseries.temporal_split3(numeric_features(spark, sf))
+    train, validation, _ = timeseries.temporal_split3(materialize(numeric_features(spark, sf)))
     grid = [{"max_depth": 2}, {"max_depth": 4}]
     return models.search_hyperparameters(train, validation, grid, small_config("random_forest"))
 

@@ -120,9 +120,8 @@ def read_raw_pages(spark, sf):
         "title", "url", "published", "source", stored["html_path"], "html_size"
     )
     files.write_json_report(manifest, f"{folder}/manifest")
-    read = files.read_raw_pages(
-        spark, f"{folder}/html/*", files.read_manifest(spark, f"{folder}/manifest", lines=True)
-    )
+    manifest = files.read_manifest(spark, f"{folder}/manifest", lines=True)
+    read = files.read_raw_pages(spark, f"{folder}/html/*", manifest, depth=2)
     # The text sink ends every file with one line break.
     return read.select("url", "html_size", (F.char_length("html") - 1).alias("text_size"))
 

@@ -8,6 +8,7 @@ from panelflow.operators import monthly, text, tfidf
 from panelflow.plans import bindings as B
 from panelflow.plans import oracle as O
 from panelflow.plans.registry import query, select
+from panelflow.session import materialize
 
 LEXICONS = {"categories": B.CATEGORIES, "positive": B.POSITIVE, "negative": B.NEGATIVE}
 _PAGE_TEXT = select("page_id:i text:s", "SELECT * FROM page_text", O.chain(O.PAGE_TEXT))
@@ -15,12 +16,12 @@ _PAGE_TEXT = select("page_id:i text:s", "SELECT * FROM page_text", O.chain(O.PAG
 
 @query("clean_html", _PAGE_TEXT)
 def clean_html(spark, sf):
-    return text.clean_html(B.table(spark, sf, "pages")).select("page_id", "text")
+    return text.clean_html(B.texts(spark, sf, "pages")).select("page_id", "text")
 
 
 @query("clean_html_parser", _PAGE_TEXT)
 def clean_html_parser(spark, sf):
-    return text.clean_html(B.table(spark, sf, "pages"), mode="parser").select("page_id", "text")
+    return text.clean_html(B.texts(spark, sf, "pages"), mode="parser").select("page_id", "text")
 
 
 @query("min_text_filter", select("doc_id:i", "SELECT doc_id FROM documents WHERE length(text) >= 100"))
@@ -155,7 +156,8 @@ def article_features(spark, sf):
 
 
 def _corpus(spark, sf):
-    return tfidf.eligible(_articles(spark, sf).select("doc_id", "token_count", "clean_text"))
+    docs = _articles(spark, sf).select("doc_id", "token_count", "clean_text")
+    return materialize(tfidf.eligible(docs))
 
 
 @query(
@@ -176,7 +178,8 @@ def tfidf_vocabulary(spark, sf):
 )
 def tfidf_weights(spark, sf):
     corpus = _corpus(spark, sf)
-    return tfidf.tfidf_weights(corpus, tfidf.tfidf_vocabulary(corpus, "doc_id"), "doc_id")
+    vocabulary = materialize(tfidf.tfidf_vocabulary(corpus, "doc_id"))
+    return tfidf.tfidf_weights(corpus, vocabulary, "doc_id")
 
 
 @query(
@@ -184,7 +187,7 @@ def tfidf_weights(spark, sf):
 )
 def tfidf_mean(spark, sf):
     docs = _articles(spark, sf).select("doc_id", "token_count", "clean_text")
-    return tfidf.tfidf_mean(docs, "doc_id").select("doc_id", "tfidf_mean")
+    return tfidf.corpus_features(docs, "doc_id").select("doc_id", "tfidf_mean")
 
 
 @query(
@@ -202,7 +205,7 @@ def parse_published(spark, sf):
 
 
 def scored_articles(spark, sf):
-    return tfidf.tfidf_mean(_articles(spark, sf), "doc_id").drop("clean_text")
+    return tfidf.corpus_features(_articles(spark, sf), "doc_id").drop("clean_text")
 
 
 def monthly_features(spark, sf):
@@ -234,7 +237,7 @@ _TOTALS = ", ".join(f"sum(keyword_{c}) AS {c}_total" for c in B.CATEGORIES)
         "SELECT articles, total_tokens, avg_tokens, avg_sentiment, months, per_month AS avg_articles_per_month, "
         + " || ' ' || ".join(f"'keyword_{c}=' || {c}_total" for c in B.CATEGORIES)
         + " AS keyword_totals FROM (SELECT count(*) AS articles, sum(token_count) AS total_tokens, "
-        f"avg(token_count) AS avg_tokens, avg(sentiment_score) AS avg_sentiment, {_TOTALS} FROM complete), "
+        f"avg(token_count) AS avg_tokens, {O.exact_mean('sentiment_score')} AS avg_sentiment, {_TOTALS} FROM complete), "
         "(SELECT count(*) AS months, avg(text_article_count) AS per_month FROM monthly)",
         O.chain(O.MONTHLY),
     ),

@@ -59,6 +59,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer partitions than cores before per-row text work.
+
+    Large inputs have many splits and are left alone; one unsplittable file is not
+    allowed to keep the other cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
     """Bounded size check: reads at most ``max_rows + 1`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows

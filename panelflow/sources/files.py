@@ -70,16 +70,22 @@ def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     return document.select(F.explode(both).alias("page")).select("page.*")
 
 
+def _path_end(path: Column, depth: int) -> Column:
+    return F.substring_index(path, "/", -depth)
+
+
 def read_raw_pages(
-    spark: SparkSession, html_glob: str, manifest: DataFrame
+    spark: SparkSession, html_glob: str, manifest: DataFrame, depth: int = 1
 ) -> DataFrame:
-    """Manifest records joined to their stored HTML; records without a file are skipped."""
-    files = (
-        spark.read.text(html_glob, wholetext=True)
-        .select(F.col("value").alias("html"), F.col("_metadata.file_name").alias("file_name"))
+    """Manifest records joined to their stored HTML; records without a file are skipped.
+
+    Manifest paths may be relative, so the last ``depth`` path segments are compared.
+    """
+    files = spark.read.text(html_glob, wholetext=True).select(
+        F.col("value").alias("html"), _path_end(F.col("_metadata.file_path"), depth).alias("_end")
     )
-    named = manifest.withColumn("file_name", F.element_at(F.split("html_path", "/"), -1))
-    return named.join(files, "file_name").drop("file_name")
+    named = manifest.withColumn("_end", _path_end(F.col("html_path"), depth))
+    return named.join(files, "_end").drop("_end")
 
 
 _RSS = (
