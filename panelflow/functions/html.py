@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
@@ -43,15 +44,19 @@ END = "\u0002"  # appended to the page; vanishes if an unclosed subtree swallows
 
 _SUBTREE_TAGS = DROPPED_TAGS + HIDDEN_TAGS
 _ANY_SUBTREE_TAG = "|".join(_SUBTREE_TAGS)
-_ATTRS = r"(?:[\s/][^<>]*)?"
-
-# Every alternative always finds an end (its close or the end of the page), so a run of
-# unclosed openers costs one pass, not one pass each.
-SUBTREES = (
-    r"(?is)<!--.*?(?:-->|\z)|"
-    + "|".join(rf"<{t}{_ATTRS}>.*?(?:</{t}\s*>|\z)" for t in _SUBTREE_TAGS)
-    + r"|<[!?][^<>]*>"
-)
+_RAW_TEXT_TAGS = ["script", "style"]  # their content is no markup
+_ATTRS = r"(?:[\s/](?:[^<>]*[^<>/])?)?"  # does not match a self-closed tag
+
+
+def _elements(tags: list[str]) -> str:
+    """Elements from start tag to end tag.  Every alternative finds an end (at worst that
+    of the page), so a run of unclosed start tags costs one pass, not one pass each."""
+    return "|".join(rf"<{t}{_ATTRS}>.*?(?:</{t}\s*>|\z)" for t in tags)
+
+
+# Comments, scripts and declarations go first: they may hold anything that looks like a tag.
+LEXICAL = rf"(?is)<!--.*?(?:-->|\z)|{_elements(_RAW_TEXT_TAGS)}|<[!?][^<>]*>"
+SUBTREES = "(?is)" + _elements([t for t in _SUBTREE_TAGS if t not in _RAW_TEXT_TAGS])
 TAG = r"</?[a-zA-Z][^<>]*>"
 LINE_BREAK = r"[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 SPACE = (
@@ -70,8 +75,12 @@ def join_chunks(text: Column) -> Column:
     return F.array_join(F.filter(chunks, lambda c: c != ""), " ")
 
 
-def without_subtrees(html: Column) -> Column:
-    return F.regexp_replace(F.concat(html, F.lit(END)), SUBTREES, GAP)
+def without_scripts(html: Column) -> Column:
+    return F.regexp_replace(F.concat(html, F.lit(END)), LEXICAL, GAP)
+
+
+def without_subtrees(lexed: Column) -> Column:
+    return F.regexp_replace(lexed, SUBTREES, GAP)
 
 
 def without_tags(stripped: Column) -> Column:
@@ -91,90 +100,158 @@ def native_text(untagged: Column) -> Column:
     return join_chunks(text)
 
 
-def is_irregular(html: Column, stripped: Column, untagged: Column) -> Column:
+def _badly_nested(tags: Column) -> Column:
+    """Whether the tags of a dropped element leave it early or open it again.
+
+    An end tag without its start tag inside the element would close something around it.
+    """
+
+    def places(tag: Column) -> Column:
+        return F.filter(
+            F.transform(tags, lambda t, i: F.when(t == tag, i)), lambda i: i.isNotNull()
+        )
+
+    def leaves(name: Column) -> Column:
+        pairs = F.zip_with(
+            places(F.concat(F.lit("<"), name)),
+            places(F.concat(F.lit("</"), name)),
+            lambda start, end: end.isNotNull() & (start.isNull() | (start > end)),
+        )
+        return F.exists(pairs, lambda early: early)
+
+    ends = F.filter(tags, lambda t: F.startswith(t, F.lit("</")))
+    names = F.array_distinct(F.transform(ends, lambda t: F.substring(t, 3, 1000)))
+    return (F.size(F.filter(tags, lambda t: t == F.get(tags, 0))) > 1) | F.exists(names, leaves)
+
+
+def is_irregular(html: Column, lexed: Column, stripped: Column, untagged: Column) -> Column:
     """True where regular expressions cannot be trusted with the markup.
 
-    Nested or unclosed dropped subtrees, self-closed ones, a quoted ``>``, markup left
-    over after the tag pass, and entities outside the native map.
+    Nested, unclosed or self-closed dropped subtrees, end tags that cross their border, a
+    quoted ``>``, markup left over after the tag pass, entities outside the native map.
     """
     known = "|".join([*ENTITIES, "amp", "#39"])
+    elements = F.regexp_extract_all(lexed, F.lit(SUBTREES), F.lit(0))
+    tags = F.transform(
+        elements, lambda e: F.regexp_extract_all(e, F.lit(r"</?[a-zA-Z][^\s/<>]*"), F.lit(0))
+    )
     return (
-        ~F.endswith(stripped, F.lit(END))
+        F.contains(html, F.lit(GAP))
+        | F.contains(html, F.lit(END))
+        | ~F.endswith(stripped, F.lit(END))
         | stripped.rlike(rf"(?i)</?(?:{_ANY_SUBTREE_TAG})[\s/>]")
-        | html.rlike(rf"(?i)<(?:{_ANY_SUBTREE_TAG})(?:\s[^<>]*)?/>")
-        | untagged.rlike(r"<[/!?a-zA-Z]|>")
-        | untagged.rlike(rf"&(?!(?:{known});)[a-zA-Z#]")
-        | html.rlike(f"[{GAP}{END}]")
+        | untagged.rlike(rf"<[/!?a-zA-Z]|>|&(?!(?:{known});)[a-zA-Z#]")
+        | F.exists(tags, _badly_nested)
     )
 
 
+_HIDING = frozenset(_SUBTREE_TAGS)
+_VERBATIM = frozenset(("pre", "textarea"))
+_REFERENCE = re.compile(r"&(?:#([0-9]+|[xX][0-9a-fA-F]+)|([a-zA-Z][-.a-zA-Z0-9]*));?")
+
+
+def _named(name: str) -> str:
+    return html5.get(name + ";", "&" + name)
+
+
+def _numbered(number: str) -> str:
+    try:
+        code = int(number[1:], 16) if number[0] in "xX" else int(number)
+        return bytes([code]).decode("cp1252", "replace") if code < 256 else chr(code)
+    except (ValueError, OverflowError):
+        return "\ufffd"
+
+
 class _TextNodes(HTMLParser):
-    """Collects visible text nodes, tracking the open elements as a tree builder would."""
+    """Collects visible text nodes, tracking the open elements as a tree builder would.
+
+    Open elements are also counted by name, so deep nesting does not slow it down.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
-        self.open: list[str] = []
+        self.path: list[str] = []
+        self.open: Counter[str] = Counter()
+        self.hiding = 0
+        self.verbatim = 0
         self.nodes: list[str] = []
         self.pending: list[str] = []
 
-    def _flush(self) -> None:
+    def flush(self) -> None:
         text = "".join(self.pending)
         self.pending.clear()
-        if not text or any(t in _HIDING for t in self.open):
+        if not text or self.hiding:
             return
-        if not text.strip(" \n\t\f\r") and not any(t in ("pre", "textarea") for t in self.open):
+        if not self.verbatim and not text.strip(" \n\t\f\r"):
             text = "\n" if "\n" in text else " "
         self.nodes.append(text)
 
+    def _count(self, tag: str, step: int) -> None:
+        self.open[tag] += step
+        self.hiding += step * (tag in _HIDING)
+        self.verbatim += step * (tag in _VERBATIM)
+
     def handle_starttag(self, tag, attrs):
-        self._flush()
+        self.flush()
         if tag not in VOID_TAGS:
-            self.open.append(tag)
+            self.path.append(tag)
+            self._count(tag, 1)
 
     def handle_startendtag(self, tag, attrs):
-        self._flush()
+        self.flush()
 
     def handle_endtag(self, tag):
-        self._flush()
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
+        self.flush()
+        closed = None
+        while self.open[tag] and closed != tag:
+            closed = self.path.pop()
+            self._count(closed, -1)
 
     def handle_data(self, data):
         self.pending.append(data)
 
     def handle_entityref(self, name):
-        self.pending.append(html5.get(name + ";", "&" + name))
+        self.pending.append(_named(name))
 
     def handle_charref(self, name):
-        try:
-            code = int(name[1:], 16) if name[0] in "xX" else int(name)
-            char = bytes([code]).decode("cp1252", "replace") if code < 256 else chr(code)
-        except (ValueError, OverflowError):
-            char = "�"
-        self.pending.append(char)
+        self.pending.append(_numbered(name))
 
     def handle_comment(self, data):
-        self._flush()
+        self.flush()
 
     handle_decl = handle_pi = handle_comment
 
+    def parse_marked_section(self, i, report=1):
+        """A malformed section is a comment up to the next ``>``, not an error."""
+        if self.rawdata.startswith("<![CDATA[", i) and self.rawdata.find("]]>", i) >= 0:
+            return super().parse_marked_section(i, report)
+        return self.parse_bogus_comment(i)
+
     def unknown_decl(self, data):
-        self._flush()
+        self.flush()
         if data.upper().startswith("CDATA["):
             self.pending.append(data[len("CDATA["):])
-            self._flush()
-
-
-_HIDING = frozenset(_SUBTREE_TAGS)
+            self.flush()
 
 
 def parse_visible_text(html: str) -> str:
+    """Visible text of one page, in time linear in its length.
+
+    Behind the last ``-->`` a comment cannot end and behind the last ``>`` no tag can, so
+    what starts there is text; the parser would search the rest of the page at each one.
+    """
+    last_comment = html.rfind("-->") + 1
+    html = html[:last_comment] + html[last_comment:].replace("<!--", "&lt;!--")
+    last_tag = html.rfind(">") + 1
     parser = _TextNodes()
-    parser.feed(html)
+    parser.feed(html[:last_tag])
     parser.close()
-    parser._flush()
-    chunks = (c.strip() for line in " ".join(parser.nodes).splitlines() for c in re.split("  ", line))
+    parser.handle_data(
+        _REFERENCE.sub(lambda m: _numbered(m[1]) if m[1] else _named(m[2]), html[last_tag:])
+    )
+    parser.flush()
+    lines = " ".join(parser.nodes).splitlines()
+    chunks = (c.strip() for line in lines for c in line.split("  "))
     return " ".join(c for c in chunks if c)
 
 

@@ -31,26 +31,30 @@ NOUN_ENDINGS = [
 FORM_SALTS = 32
 
 
-def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str = "auto") -> DataFrame:
+def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str = "parser") -> DataFrame:
     """Visible text of a page.
 
-    ``native`` is one expression chain in the JVM; ``parser`` feeds every page to an
-    HTML parser in Arrow batches; ``auto`` sends only irregular pages to the parser and
-    hands it NULL for all others, in one pass over the table.
+    ``parser`` runs an HTML parser over Arrow batches and is exact on any markup.
+    ``native`` is one expression chain in the JVM for regular markup.  ``auto`` runs the
+    chain and hands only irregular pages to the parser (NULL for all others), in one pass.
+    On eight local cores the parser took less time than ``auto`` on all pages measured,
+    and ``native`` was ahead of it on pages dense with tags (figures in the README).
     """
     if mode == "parser":
         return df.withColumn(out, H.parsed_text(F.col(html)))
-    staged = df.withColumn("_stripped", H.without_subtrees(F.col(html))).withColumn(
-        "_untagged", H.without_tags(F.col("_stripped"))
+    if mode not in ("native", "auto"):
+        raise ValueError(f"unknown mode: {mode}")
+    staged = (
+        df.withColumn("_lexed", H.without_scripts(F.col(html)))
+        .withColumn("_stripped", H.without_subtrees(F.col("_lexed")))
+        .withColumn("_untagged", H.without_tags(F.col("_stripped")))
     )
+    columns = [c for c in df.columns if c != out]
     native = H.native_text(F.col("_untagged"))
     if mode == "native":
-        return with_computed(staged, **{out: native}).drop("_stripped", "_untagged")
-    if mode != "auto":
-        raise ValueError(f"unknown mode: {mode}")
-    irregular = H.is_irregular(F.col(html), F.col("_stripped"), F.col("_untagged"))
-    columns = [c for c in df.columns if c != out]
-    return (
+        return with_computed(staged, **{out: native}).select(*columns, out)
+    irregular = H.is_irregular(*[F.col(c) for c in (html, "_lexed", "_stripped", "_untagged")])
+    parsed = (
         staged.withColumn("_irregular", irregular)
         .select(
             *columns,
@@ -58,8 +62,8 @@ def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str =
             F.when(F.col("_irregular"), F.col(html)).alias("_hard"),
         )
         .withColumn("_parsed", H.parsed_text("_hard"))
-        .select(*columns, F.coalesce("_native", "_parsed").alias(out))
     )
+    return with_computed(parsed, **{out: F.coalesce("_native", "_parsed")}).select(*columns, out)
 
 
 def min_text_filter(df: DataFrame, text: str = "text", n: int = config.MIN_TEXT_CHARS) -> DataFrame:
@@ -261,7 +265,7 @@ def text_stats(
 def article_tokens(
     pages: DataFrame,
     html: str | None = "html",
-    mode: str = "auto",
+    mode: str = "parser",
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """Clean, gate, normalise and tokenize: the narrow half of the article pipeline.
@@ -278,7 +282,7 @@ def article_features(
     pages: DataFrame,
     key: str = "html_path",
     html: str | None = "html",
-    mode: str = "auto",
+    mode: str = "parser",
     stop_words: Sequence[str] | None = None,
     categories: Mapping[str, Sequence[str]] | None = None,
     positive: Sequence[str] = config.POSITIVE_WORDS,

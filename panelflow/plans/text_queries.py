@@ -19,9 +19,14 @@ def clean_html(spark, sf):
     return text.clean_html(B.texts(spark, sf, "pages")).select("page_id", "text")
 
 
-@query("clean_html_parser", _PAGE_TEXT)
-def clean_html_parser(spark, sf):
-    return text.clean_html(B.texts(spark, sf, "pages"), mode="parser").select("page_id", "text")
+@query("clean_html_auto", _PAGE_TEXT)
+def clean_html_auto(spark, sf):
+    return text.clean_html(B.texts(spark, sf, "pages"), mode="auto").select("page_id", "text")
+
+
+@query("clean_html_native", _PAGE_TEXT)
+def clean_html_native(spark, sf):
+    return text.clean_html(B.texts(spark, sf, "pages"), mode="native").select("page_id", "text")
 
 
 @query("min_text_filter", select("doc_id:i", "SELECT doc_id FROM documents WHERE length(text) >= 100"))

@@ -29,6 +29,10 @@ CLEAN_CASES = [
     ("<style>p > a {}</style>only", "only"),
     ("<template>t</template>x<ruby>y<rt>z</rt></ruby>", "x y"),
     ("a<b>\t</b>c", "a c"),
+    ("<header>a<header>b</header>c", ""),
+    ("<div><nav>m</div>text</nav>x", "text x"),
+    ("<nav><!-- </nav> -->m</nav>x", "x"),
+    ("<header><nav><a>l</a></nav><form>f</form></header>x", "x"),
 ]
 
 
@@ -49,7 +53,7 @@ def _random_page(rng: random.Random) -> str:
         "<p>", "</p>", "<b>", "</b>", "<br>", "<br/>", "<!-- c -->", "<script>if(a<b){}</script>",
         "<nav>x</nav>", "<style>p{}</style>", " ", "  ", "\n", "\t", "&amp;", "&lt;", "&nbsp;", "&copy;",
         '<a href="x">', "</a>", "<footer>f</footer>", "<!DOCTYPE html>", "<header>", "</header>", "<nav>",
-        "&eacute;", "&#39;", "<form>", "</form>", 'title="a>b"', "<", ">", "<div title='q>r'>", "</div>",
+        "&eacute;", "&#39;", "<form>", "</form>", "<header><nav>n</nav></header>", "<nav><a>l</a><ul><li>i</ul></nav>", 'title="a>b"', "<", ">", "<div title='q>r'>", "</div>",
     ]
     words = ["".join(rng.choices(string.ascii_letters + "éñ", k=4)) for _ in range(5)]
     return "".join(rng.choice(pieces + words) for _ in range(rng.randrange(1, 40)))
@@ -59,25 +63,30 @@ def test_auto_equals_parser_on_random_pages(spark):
     rng = random.Random(7)
     pages = [_random_page(rng) for _ in range(3000)]
     df = texts(spark, pages).repartition(8)
-    auto = text.clean_html(df).withColumnRenamed("text", "auto")
-    both = text.clean_html(auto.join(df, "id"), mode="parser")
+    auto = text.clean_html(df, mode="auto").withColumnRenamed("text", "auto")
+    both = text.clean_html(auto, mode="parser")
     assert rows(both.filter("auto <> text").select("html", "auto", "text").limit(5)) == []
-    staged = df.withColumn("s", H.without_subtrees(F.col("html"))).withColumn("u", H.without_tags(F.col("s")))
-    native = staged.filter(~H.is_irregular(F.col("html"), F.col("s"), F.col("u"))).count()
-    assert native > 200
+    staged = df.withColumn("l", H.without_scripts(F.col("html")))
+    staged = staged.withColumn("s", H.without_subtrees(F.col("l")))
+    staged = staged.withColumn("u", H.without_tags(F.col("s")))
+    irregular = H.is_irregular(*[F.col(c) for c in ("html", "l", "s", "u")])
+    assert staged.filter(~irregular).count() > 200
 
 
-def test_html_is_linear_on_hostile_pages(spark):
+@pytest.mark.parametrize("mode", ["auto", "parser"])
+def test_html_is_linear_on_hostile_pages(spark, mode):
     pages = [
         "<nav>" * 50_000,
         "<!--" * 50_000,
         "<a" * 50_000,
+        "<!-- >" * 50_000,
+        "<div>" * 50_000 + "a</b>" * 50_000,
         "<script>" + "x<" * 500_000 + "</script>done",
         "\t" * 100_000 + "x",
         "<p " + 'a="b" ' * 20_000 + ">y</p>",
     ]
-    got = column(text.clean_html(texts(spark, pages)).orderBy("id"), "text")
-    assert got[3] == "done" and got[4] == "x" and got[5] == "y"
+    got = column(text.clean_html(texts(spark, pages), mode=mode).orderBy("id"), "text")
+    assert got[5] == "done" and got[6] == "x" and got[7] == "y"
 
 
 NORMALIZE_CASES = [
