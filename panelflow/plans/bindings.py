@@ -285,7 +285,7 @@ NOW = "TIMESTAMP_NTZ'2024-03-01 00:00:00'"
 
 def predictions(features: DataFrame) -> DataFrame:
     """Fixed linear forecast from last month's value and the three-month mean."""
-    predicted = F.round(F.lit(0.6) * F.col("inflation_lag_1") + F.lit(0.4) * F.col("rolling_mean_3"), 6)
+    predicted = F.lit(0.6) * F.col("inflation_lag_1") + F.lit(0.4) * F.col("rolling_mean_3")
     return features.select(
         "country_code",
         "date",

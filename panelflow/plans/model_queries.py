@@ -323,8 +323,14 @@ _PREDICTED = O.chain(O.PREDICTIONS)
 _METRICS = {
     "rmse": "sqrt(avg((actual - predicted) ^ 2))",
     "mae": "avg(abs(actual - predicted))",
-    "r2": "1 - avg((actual - predicted) ^ 2) / var_pop(actual)",
-    "explained_variance": "1 - var_pop(actual - predicted) / var_pop(actual)",
+    "r2": (
+        "CASE WHEN var_pop(actual) > 0 THEN 1 - avg((actual - predicted) ^ 2) / var_pop(actual) "
+        "WHEN avg((actual - predicted) ^ 2) = 0 THEN 1 ELSE 0 END"
+    ),
+    "explained_variance": (
+        "CASE WHEN var_pop(actual) > 0 THEN 1 - var_pop(actual - predicted) / var_pop(actual) "
+        "WHEN var_pop(actual - predicted) = 0 THEN 1 ELSE 0 END"
+    ),
 }
 _MAPE = {"mape": "100 * avg(abs(actual - predicted) / greatest(abs(actual), 1e-8))"}
 _SPREAD = {
