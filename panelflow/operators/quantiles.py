@@ -1,13 +1,15 @@
-"""Exact quantiles of many columns without gathering a column in one task."""
+"""Exact quantiles of many columns without sorting or gathering whole columns."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Slices per column.  One window task sees about 1/SLICES of a column's distinct values.
-SLICES = 200
+# Share of the rows on either side of a quantile that is looked at in detail, and the
+# accuracy of the sketch that places it (its rank error is 1 / SKETCH_ACCURACY).
+MARGIN = 0.0005
+SKETCH_ACCURACY = 10_000
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -18,35 +20,36 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter("value IS NOT NULL AND NOT isnan(value)")
 
 
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, value, n)``; a frequent value is reduced per task before the shuffle."""
-    return long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(feature, quantiles ARRAY<DOUBLE>)`` with linear interpolation between ranks.
 
-    A mergeable sketch proposes slice bounds per feature, counts per slice tell which
-    slice holds each wanted rank, and only those slices are sorted.  The bounds only
-    balance the work; the result does not depend on their accuracy.
+    A mergeable sketch cuts each feature into slices, narrow ones around the wanted
+    quantiles and wide ones between.  Rows per slice are counted (a few rows per task
+    are shuffled), which tells the slice of every wanted rank, and only the values of
+    those slices are counted, shuffled and ordered.  The cuts steer the work; the result
+    does not depend on their accuracy.
     """
-    counts = value_counts(df, cols)
-    steps = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
-    bounds = long_values(df, cols).groupBy("feature").agg(
-        F.percentile_approx("value", steps, F.lit(10 * SLICES)).alias("bounds")
+    values = long_values(df, cols)
+    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
+    cuts = values.groupBy("feature").agg(
+        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), F.lit(SKETCH_ACCURACY)).alias("cuts")
     )
-    # One row per configured column.
-    sliced = counts.join(F.broadcast(bounds), "feature").select(
-        "feature", "value", "n", F.size(F.filter("bounds", lambda b: b < F.col("value"))).alias("slice")
+    place = sum(
+        (F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(edges))), F.lit(0)
     )
-    # At most len(cols) * SLICES rows from here to ``wanted``.
+    # ``cuts`` has one row per configured column.
+    sliced = values.join(F.broadcast(cuts), "feature").select("feature", "value", place.alias("slice"))
     ordered = Window.partitionBy("feature").orderBy("slice")
     ranks = F.array(
-        *[F.struct(F.lit(i).alias("i"), ((F.col("total") - 1) * F.lit(float(p))).alias("at")) for i, p in enumerate(probs)]
+        *[
+            F.struct(F.lit(i).alias("i"), ((F.col("total") - 1) * F.lit(float(p))).alias("at"))
+            for i, p in enumerate(probs)
+        ]
     )
+    # At most len(cols) * (len(edges) + 1) rows from here to ``wanted``.
     wanted = (
         sliced.groupBy("feature", "slice")
-        .agg(F.sum("n").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("before", F.sum("rows").over(ordered) - F.col("rows"))
         .withColumn("total", F.sum("rows").over(Window.partitionBy("feature")))
         .withColumn(
@@ -60,15 +63,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         .filter(F.size("ranks") > 0)
         .select("feature", "slice", "before", "ranks")
     )
+    # A value that fills many rows is reduced per task before it is shuffled.
     inside = Window.partitionBy("feature", "slice").orderBy("value")
     placed = (
         sliced.join(F.broadcast(wanted), ["feature", "slice"])
+        .groupBy("feature", "slice", "before", "ranks", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("end", F.col("before") + F.sum("n").over(inside))
         .withColumn("start", F.col("end") - F.col("n"))
         .select("feature", "value", "start", "end", F.inline("ranks").alias("i", "at"))
     )
 
-    def value_at(rank):
+    def value_at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), F.col("value")))
 
     low, high = value_at(F.floor("at")), value_at(F.ceil("at"))
@@ -84,5 +90,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 def most_frequent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(feature, value)``: the most frequent value, the smallest among ties."""
+    counts = long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
-    return value_counts(df, cols).groupBy("feature").agg(best["value"].alias("value"))
+    return counts.groupBy("feature").agg(best["value"].alias("value"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from panelflow.functions.calendar import month_start
 from panelflow.operators.frontier import page_identity
 from panelflow.operators.panel import indicator_series, merge_indicators, series_column
-from panelflow.session import fill_cores
+from panelflow.session import fill_cores, materialize
 
 # Mean order value against which a nation's deviation in percent is its "rate".
 TYPICAL_ORDER = 250_000
@@ -121,8 +121,11 @@ def indicator_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def yearly_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly panel merged from the three indicators."""
-    series = indicator_series(indicator_records(spark, sf))
+    """Yearly panel merged from the three indicators.
+
+    The series are landed first, so the line items are read once and not per indicator.
+    """
+    series = materialize(indicator_series(indicator_records(spark, sf)))
     return merge_indicators(
         series_column(series, "inflation", "inflation_rate"),
         {
