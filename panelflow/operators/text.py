@@ -11,7 +11,7 @@ from panelflow.functions import html as H
 from panelflow.functions import text as T
 from panelflow.functions.numbers import half_even
 from panelflow.functions.once import with_computed
-from panelflow.session import fits_broadcast, materialize
+from panelflow.session import materialize, rows_up_to
 
 # Noun endings and what replaces them.
 NOUN_ENDINGS = [
@@ -26,8 +26,9 @@ NOUN_ENDINGS = [
     ("ies", "y"),
 ]
 
-# Spread of one hot word form over this many join partitions when the dictionary is too
-# large to broadcast.
+# Dictionaries up to this many forms (a few megabytes) are looked up in place.
+DICTIONARY_LIMIT = 100_000
+# Beyond that, one hot word is spread over this many partitions of the join.
 FORM_SALTS = 32
 
 
@@ -140,52 +141,93 @@ def lemma_dictionary(words: DataFrame, lexicon: DataFrame | None = None) -> Data
     )
 
 
-def apply_lemmas(
-    df: DataFrame,
-    dictionary: DataFrame,
-    key: str,
-    tokens: str = "tokens",
-    out: str = "lemmas",
-    small: bool | None = None,
-) -> DataFrame:
-    """Replace tokens by their lemma, keeping order and repeats.  ``key`` must be unique.
+def _bucket(word: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
+
+
+def _hash_table(dictionary: DataFrame, buckets: int) -> Column:
+    """The dictionary as one array of small maps, addressed by the hash of the form.
+
+    Evaluated once as a subquery of at most ``DICTIONARY_LIMIT`` entries.
+    """
+    entries = dictionary.groupBy(_bucket(F.col("form"), buckets).alias("b")).agg(
+        F.collect_list(F.struct("form", "lemma")).alias("entries")
+    )
+    slots = dictionary.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
+    dense = slots.join(entries, "b", "left").agg(
+        F.sort_array(F.collect_list(F.struct("b", "entries"))).alias("table")
+    )
+    return dense.select(
+        F.transform("table", lambda slot: F.map_from_entries(slot["entries"])).alias("table")
+    ).scalar()
+
+
+def _lemmas_by_table(df: DataFrame, dictionary: DataFrame, tokens: str, out: str, size: int) -> DataFrame:
+    buckets = max(size, 1)
+
+    def lemma(table: Column, token: Column) -> Column:
+        return F.coalesce(F.get(table, _bucket(token, buckets))[token], token)
+
+    return (
+        df.withColumn("_table", _hash_table(dictionary, buckets))
+        .withColumn(out, F.transform(tokens, lambda t: lemma(F.col("_table"), t)))
+        .drop("_table")
+    )
 
-    Tokens are exploded with their position, looked up, and gathered per document (at
-    most its own tokens, partially gathered before the one shuffle).  All other columns
-    ride on the first token only, so the input is read once and joined to nothing but
-    the dictionary.  That is broadcast only after counting it; beyond the limit the
-    lookup is a shuffle join in which every word is spread over ``FORM_SALTS`` partitions.
+
+def _lemmas_by_join(df: DataFrame, dictionary: DataFrame, key: str, tokens: str, out: str) -> DataFrame:
+    """Tokens are exploded with their position, joined, and gathered per document (at
+    most its own tokens, partially gathered before that shuffle).
+
+    All other columns ride on the first token only, so the input is read once.  Every
+    word is spread over ``FORM_SALTS`` partitions of the join.
     """
-    small = fits_broadcast(dictionary) if small is None else small
     rest = [c for c in df.columns if c not in (key, out)]
     first = F.col("_pos").isNull() | (F.col("_pos") == 0)
     spread = df.select(
         key, F.struct(*rest).alias("_rest"), F.posexplode_outer(tokens).alias("_pos", "_token")
-    ).select(key, "_pos", "_token", F.when(first, F.col("_rest")).alias("_rest"))
-    if small:
-        looked_up = spread.join(
-            F.broadcast(dictionary), spread["_token"] == dictionary["form"], "left"
-        )
-    else:
-        salts = F.sequence(F.lit(0), F.lit(FORM_SALTS - 1))
-        salted = dictionary.withColumn("_s", F.explode(salts))
-        spread = spread.withColumn(
-            "_salt", F.pmod(F.xxhash64(key, "_pos"), F.lit(FORM_SALTS)).cast("int")
-        )
-        looked_up = spread.join(
-            salted, (spread["_token"] == salted["form"]) & (spread["_salt"] == salted["_s"]), "left"
-        )
-    word = F.coalesce("lemma", "_token").alias("w")
+    ).select(
+        key,
+        "_pos",
+        "_token",
+        F.when(first, F.col("_rest")).alias("_rest"),
+        F.pmod(F.xxhash64(key, "_pos"), F.lit(FORM_SALTS)).cast("int").alias("_salt"),
+    )
+    salted = dictionary.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(FORM_SALTS - 1))))
+    looked_up = spread.join(
+        salted, (spread["_token"] == salted["form"]) & (spread["_salt"] == salted["_s"]), "left"
+    )
+    word = F.struct("_pos", F.coalesce("lemma", "_token").alias("w"))
     return (
         looked_up.groupBy(key)
         .agg(
             F.first("_rest", ignorenulls=True).alias("_rest"),
-            F.sort_array(F.collect_list(F.when(F.col("_token").isNotNull(), F.struct("_pos", word)))).alias("_l"),
+            F.sort_array(F.collect_list(F.when(F.col("_token").isNotNull(), word))).alias("_l"),
         )
         .select(key, "_rest.*", F.col("_l.w").alias(out))
     )
 
 
+def apply_lemmas(
+    df: DataFrame,
+    dictionary: DataFrame,
+    key: str,
+    tokens: str = "tokens",
+    out: str = "lemmas",
+    limit: int = DICTIONARY_LIMIT,
+) -> DataFrame:
+    """Replace tokens by their lemma, keeping order and repeats.  ``key`` must be unique.
+
+    The dictionary is counted first.  Up to ``limit`` forms it is looked up in place, and
+    documents are not shuffled; beyond that the lookup is a salted join.
+    """
+    dictionary = dictionary.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    size = rows_up_to(dictionary, limit)
+    if size is not None:
+        return _lemmas_by_table(df, dictionary, tokens, out, size)
+    return _lemmas_by_join(df, dictionary, key, tokens, out)
+
+
 def lemmatize(
     df: DataFrame,
     key: str,

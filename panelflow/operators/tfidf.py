@@ -32,19 +32,18 @@ def document_terms(words: Column, ngram: tuple[int, int] = (1, 2)) -> Column:
     raise ValueError("ngram must be (1, 1), (2, 2) or (1, 2)")
 
 
-def term_frequencies(
+def _sorted_terms(
     docs: DataFrame,
     key: str,
-    text: str = "clean_text",
-    ngram: tuple[int, int] = (1, 2),
+    text: str,
+    ngram: tuple[int, int],
     only_terms: Sequence[str] | None = None,
     only_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``(key, term, tf)`` without a shuffle.
+    """``(key, s)`` with the sorted terms of each document, repeats included.
 
-    A document is one row, so its terms are counted in place: sort the terms, find where
-    runs start, and take the distance between starts.  ``only_terms`` keeps listed terms;
-    ``only_words`` keeps terms all of whose words are listed.
+    ``only_terms`` keeps listed terms; ``only_words`` keeps terms all of whose words are
+    listed.
     """
     words = docs.select(key, document_words(F.col(text)).alias("words"))
     if only_words is not None:
@@ -52,13 +51,32 @@ def term_frequencies(
         words = words.select(
             key, F.transform("words", lambda w: F.when(w.isin(list(only_words)), w)).alias("words")
         )
-        terms = F.filter(document_terms(F.col("words"), ngram), lambda t: t.isNotNull())
-    else:
-        terms = document_terms(F.col("words"), ngram)
+    terms = document_terms(F.col("words"), ngram)
+    if only_words is not None:
+        terms = F.filter(terms, lambda t: t.isNotNull())
     if only_terms is not None:
         terms = F.filter(terms, lambda t: t.isin(list(only_terms)))
-    # A term opposite its sorted predecessor; equal neighbours leave NULL.
-    heads = F.zip_with("s", F.concat(F.array(F.lit("")), "s"), lambda a, b: F.when(a != b, a))
+    return words.select(key, F.sort_array(terms).alias("s"))
+
+
+def _shifted() -> Column:
+    """The sorted terms moved one place, so that each is opposite its successor."""
+    return F.concat(F.array(F.lit("")), F.col("s"))
+
+
+def term_frequencies(
+    docs: DataFrame,
+    key: str,
+    text: str = "clean_text",
+    ngram: tuple[int, int] = (1, 2),
+    only_terms: Sequence[str] | None = None,
+) -> DataFrame:
+    """``(key, term, tf)`` without a shuffle.
+
+    A document is one row, so its terms are counted in place: sort the terms, find where
+    runs start, and take the distance between starts.
+    """
+    heads = F.zip_with("s", _shifted(), lambda term, before: F.when(term != before, term))
     starts = F.filter(
         F.transform(
             heads, lambda t, i: F.when(t.isNotNull(), F.struct(i.alias("at"), t.alias("term")))
@@ -72,17 +90,33 @@ def term_frequencies(
         lambda run, end: F.struct(run["term"].alias("term"), (end - run["at"]).alias("tf")),
     )
     return (
-        words.select(key, F.sort_array(terms).alias("s"))
+        _sorted_terms(docs, key, text, ngram, only_terms)
         .withColumn("starts", starts)
         .select(key, F.inline(runs))
         .filter(F.col("term").isNotNull())
     )
 
 
-def term_totals(frequencies: DataFrame) -> DataFrame:
-    """``(term, df, total)``; counts are combined per task before the shuffle by term."""
-    return frequencies.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")
+def term_totals(
+    docs: DataFrame,
+    key: str,
+    text: str = "clean_text",
+    ngram: tuple[int, int] = (1, 2),
+    only_words: Sequence[str] | None = None,
+) -> DataFrame:
+    """``(term, df, total)``; counts are combined per task before the shuffle by term.
+
+    In sorted order a term differs from the one before it once per document.
+    """
+    return (
+        _sorted_terms(docs, key, text, ngram, only_words=only_words)
+        .select(F.inline(F.arrays_zip(F.col("s"), _shifted())).alias("term", "before"))
+        .filter(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(
+            F.count_if(F.col("term") != F.col("before")).alias("df"),
+            F.count(F.lit(1)).alias("total"),
+        )
     )
 
 
@@ -111,17 +145,17 @@ def tfidf_vocabulary(
     qualifies = (F.col("df") >= min_df) & (F.col("df") <= documents * F.lit(max_df))
     largest_first = [F.desc("total"), F.col("term")]
     if ngram == (1, 2):
-        words = materialize(term_totals(term_frequencies(docs, key, text, (1, 1))))
+        words = materialize(term_totals(docs, key, text, (1, 1)))
         reach = words.filter(qualifies).orderBy(*largest_first).limit(max_features).agg(
             F.when(F.count(F.lit(1)) == max_features, F.min("total")).alias("reach")
         )
         frequent = words.filter(F.col("total") >= F.coalesce(reach.scalar(), F.lit(0)))
         listed = [r["term"] for r in frequent.select("term").limit(LITERAL_WORDS + 1).collect()]
         only_words = listed if len(listed) <= LITERAL_WORDS else None
-        pairs = term_totals(term_frequencies(docs, key, text, (2, 2), only_words=only_words))
+        pairs = term_totals(docs, key, text, (2, 2), only_words)
         totals = words.unionByName(pairs)
     else:
-        totals = term_totals(term_frequencies(docs, key, text, ngram))
+        totals = term_totals(docs, key, text, ngram)
     return (
         totals.filter(qualifies)
         .orderBy(*largest_first)

@@ -69,11 +69,12 @@ def fill_cores(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def rows_up_to(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> int | None:
+    """Row count if at most ``max_rows``, else ``None``; reads no more rows than that."""
+    n = df.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only after counting it; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return df if rows_up_to(df, max_rows) is None else F.broadcast(df)

@@ -172,15 +172,28 @@ def test_lemmatize_with_corpus_lexicon(spark):
     assert lemmas_by_id(text.lemmatize(df, "id")) == LEMMAS
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_lookup_paths_agree(spark, small):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_lookup_paths_agree(spark, limit):
     df = token_frame(spark, DOCS).withColumn("title", F.lit("kept"))
     dictionary = text.lemma_dictionary(text.corpus_words(df))
-    got = text.apply_lemmas(df, dictionary, "id", small=small)
+    got = text.apply_lemmas(df, dictionary, "id", limit=limit)
     assert lemmas_by_id(got) == LEMMAS
     assert column(got, "title") == ["kept"] * 4
 
 
+def test_empty_dictionary_changes_nothing(spark):
+    df = token_frame(spark, DOCS)
+    nothing = spark.createDataFrame([], "form STRING, lemma STRING")
+    assert lemmas_by_id(text.apply_lemmas(df, nothing, "id")) == dict(enumerate(DOCS))
+
+
+def test_small_dictionary_does_not_shuffle_documents(spark):
+    df = token_frame(spark, DOCS)
+    dictionary = spark.createDataFrame([("banks", "bank")], "form STRING, lemma STRING")
+    tree = plan(text.apply_lemmas(df, dictionary, "id")).split("\n\n")[0]
+    assert "Exchange" not in tree.split("Subquery")[0] and "Join" not in tree.split("Subquery")[0]
+
+
 def test_lemmatize_with_lexicon_and_dictionary(spark):
     df = token_frame(spark, [["banks", "cities", "geese"]])
     lexicon = spark.createDataFrame([("bank",), ("citie",)], "word STRING")
@@ -192,7 +205,7 @@ def test_lemmatize_with_lexicon_and_dictionary(spark):
 def test_large_dictionary_join_spreads_a_hot_form(spark):
     df = token_frame(spark, [["banks"] * 200 for _ in range(20)])
     dictionary = spark.createDataFrame([("banks", "bank")], "form STRING, lemma STRING")
-    joined = plan(text.apply_lemmas(df, dictionary, "id", small=False))
+    joined = plan(text.apply_lemmas(df, dictionary, "id", limit=0))
     assert "_salt" in joined and "CartesianProduct" not in joined
 
 
