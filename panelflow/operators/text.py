@@ -28,8 +28,6 @@ NOUN_ENDINGS = [
 
 # Dictionaries up to this many forms (a few megabytes) are looked up in place.
 DICTIONARY_LIMIT = 100_000
-# Beyond that, one hot word is spread over this many partitions of the join.
-FORM_SALTS = 32
 
 
 def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str = "parser") -> DataFrame:
@@ -162,42 +160,59 @@ def _hash_table(dictionary: DataFrame, buckets: int) -> Column:
     ).scalar()
 
 
-def _lemmas_by_table(df: DataFrame, dictionary: DataFrame, tokens: str, out: str, size: int) -> DataFrame:
-    buckets = max(size, 1)
+def _in_table(table: Column, token: Column, buckets: int) -> Column:
+    return F.get(table, _bucket(token, buckets))[token]
 
-    def lemma(table: Column, token: Column) -> Column:
-        return F.coalesce(F.get(table, _bucket(token, buckets))[token], token)
 
+def _lemmas_by_table(df: DataFrame, dictionary: DataFrame, tokens: str, out: str, size: int) -> DataFrame:
+    buckets = max(size, 1)
+    table = F.col("_table")
     return (
         df.withColumn("_table", _hash_table(dictionary, buckets))
-        .withColumn(out, F.transform(tokens, lambda t: lemma(F.col("_table"), t)))
+        .withColumn(out, F.transform(tokens, lambda t: F.coalesce(_in_table(table, t, buckets), t)))
         .drop("_table")
     )
 
 
-def _lemmas_by_join(df: DataFrame, dictionary: DataFrame, key: str, tokens: str, out: str) -> DataFrame:
-    """Tokens are exploded with their position, joined, and gathered per document (at
-    most its own tokens, partially gathered before that shuffle).
+def _lemmas_by_join(
+    df: DataFrame, dictionary: DataFrame, key: str, tokens: str, out: str, limit: int
+) -> DataFrame:
+    """Frequent words are looked up in place and only rare ones are joined.
 
-    All other columns ride on the first token only, so the input is read once.  Every
-    word is spread over ``FORM_SALTS`` partitions of the join.
+    The ``limit`` most frequent words of the texts, listed in the dictionary or not, form
+    the table, so no word left for the join fills more than a ``limit``-th of the tokens.
+    Rows that need no join get a key of their own and are spread evenly.  Tokens are then
+    gathered per document (at most its own, partially gathered before that shuffle); all
+    other columns ride on the first token.
     """
+    frequent = (
+        df.select(F.explode(tokens).alias("form"))
+        .groupBy("form")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "form")
+        .limit(limit)
+    )
+    hot = materialize(
+        frequent.join(dictionary, "form", "left").select("form", F.coalesce("lemma", "form").alias("lemma"))
+    )
+    buckets = max(limit, 1)
     rest = [c for c in df.columns if c not in (key, out)]
     first = F.col("_pos").isNull() | (F.col("_pos") == 0)
-    spread = df.select(
-        key, F.struct(*rest).alias("_rest"), F.posexplode_outer(tokens).alias("_pos", "_token")
-    ).select(
-        key,
-        "_pos",
-        "_token",
-        F.when(first, F.col("_rest")).alias("_rest"),
-        F.pmod(F.xxhash64(key, "_pos"), F.lit(FORM_SALTS)).cast("int").alias("_salt"),
-    )
-    salted = dictionary.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(FORM_SALTS - 1))))
-    looked_up = spread.join(
-        salted, (spread["_token"] == salted["form"]) & (spread["_salt"] == salted["_s"]), "left"
+    # Starts with a space, so it equals no token.
+    alone = F.concat(F.lit(" "), F.xxhash64(key, "_pos").cast("string"))
+    spread = (
+        df.select(key, F.struct(*rest).alias("_rest"), F.posexplode_outer(tokens).alias("_pos", "_token"))
+        .select(
+            key,
+            "_pos",
+            "_token",
+            F.when(first, F.col("_rest")).alias("_rest"),
+            _in_table(_hash_table(hot, buckets), F.col("_token"), buckets).alias("_hot"),
+        )
+        .withColumn("_form", F.coalesce(F.when(F.col("_hot").isNull(), F.col("_token")), alone))
     )
-    word = F.struct("_pos", F.coalesce("lemma", "_token").alias("w"))
+    looked_up = spread.join(dictionary, spread["_form"] == dictionary["form"], "left")
+    word = F.struct("_pos", F.coalesce("_hot", "lemma", "_token").alias("w"))
     return (
         looked_up.groupBy(key)
         .agg(
@@ -219,13 +234,13 @@ def apply_lemmas(
     """Replace tokens by their lemma, keeping order and repeats.  ``key`` must be unique.
 
     The dictionary is counted first.  Up to ``limit`` forms it is looked up in place, and
-    documents are not shuffled; beyond that the lookup is a salted join.
+    documents are not shuffled; beyond that rare words are looked up by a join.
     """
     dictionary = dictionary.groupBy("form").agg(F.min("lemma").alias("lemma"))
     size = rows_up_to(dictionary, limit)
     if size is not None:
         return _lemmas_by_table(df, dictionary, tokens, out, size)
-    return _lemmas_by_join(df, dictionary, key, tokens, out)
+    return _lemmas_by_join(df, dictionary, key, tokens, out, limit)
 
 
 def lemmatize(
