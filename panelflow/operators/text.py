@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelflow import config
 from panelflow.functions import html as H
 from panelflow.functions import text as T
+from panelflow.functions.lookup import looked_up, lookup_table
 from panelflow.functions.numbers import half_even
 from panelflow.functions.once import with_computed
 from panelflow.session import materialize, rows_up_to
@@ -139,37 +140,12 @@ def lemma_dictionary(words: DataFrame, lexicon: DataFrame | None = None) -> Data
     )
 
 
-def _bucket(word: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
-
-
-def _hash_table(dictionary: DataFrame, buckets: int) -> Column:
-    """The dictionary as one array of small maps, addressed by the hash of the form.
-
-    Evaluated once as a subquery of at most ``DICTIONARY_LIMIT`` entries.
-    """
-    entries = dictionary.groupBy(_bucket(F.col("form"), buckets).alias("b")).agg(
-        F.collect_list(F.struct("form", "lemma")).alias("entries")
-    )
-    slots = dictionary.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
-    dense = slots.join(entries, "b", "left").agg(
-        F.sort_array(F.collect_list(F.struct("b", "entries"))).alias("table")
-    )
-    return dense.select(
-        F.transform("table", lambda slot: F.map_from_entries(slot["entries"])).alias("table")
-    ).scalar()
-
-
-def _in_table(table: Column, token: Column, buckets: int) -> Column:
-    return F.get(table, _bucket(token, buckets))[token]
-
-
 def _lemmas_by_table(df: DataFrame, dictionary: DataFrame, tokens: str, out: str, size: int) -> DataFrame:
     buckets = max(size, 1)
     table = F.col("_table")
     return (
-        df.withColumn("_table", _hash_table(dictionary, buckets))
-        .withColumn(out, F.transform(tokens, lambda t: F.coalesce(_in_table(table, t, buckets), t)))
+        df.withColumn("_table", lookup_table(dictionary, "form", "lemma", buckets))
+        .withColumn(out, F.transform(tokens, lambda t: F.coalesce(looked_up(table, t, buckets), t)))
         .drop("_table")
     )
 
@@ -207,14 +183,14 @@ def _lemmas_by_join(
             "_pos",
             "_token",
             F.when(first, F.col("_rest")).alias("_rest"),
-            _in_table(_hash_table(hot, buckets), F.col("_token"), buckets).alias("_hot"),
+            looked_up(lookup_table(hot, "form", "lemma", buckets), F.col("_token"), buckets).alias("_hot"),
         )
         .withColumn("_form", F.coalesce(F.when(F.col("_hot").isNull(), F.col("_token")), alone))
     )
-    looked_up = spread.join(dictionary, spread["_form"] == dictionary["form"], "left")
+    joined = spread.join(dictionary, spread["_form"] == dictionary["form"], "left")
     word = F.struct("_pos", F.coalesce("_hot", "lemma", "_token").alias("w"))
     return (
-        looked_up.groupBy(key)
+        joined.groupBy(key)
         .agg(
             F.first("_rest", ignorenulls=True).alias("_rest"),
             F.sort_array(F.collect_list(F.when(F.col("_token").isNotNull(), word))).alias("_l"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflow import config
+from panelflow.functions.lookup import looked_up, lookup_table
 from panelflow.functions.numbers import one_row
 from panelflow.functions.text import adjacent_pairs
 from panelflow.session import broadcast_if_small, materialize
@@ -32,76 +33,77 @@ def document_terms(words: Column, ngram: tuple[int, int] = (1, 2)) -> Column:
     raise ValueError("ngram must be (1, 1), (2, 2) or (1, 2)")
 
 
-def _sorted_terms(
+def _with_sorted_terms(
     docs: DataFrame,
-    key: str,
     text: str,
     ngram: tuple[int, int],
     only_terms: Sequence[str] | None = None,
     only_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``(key, s)`` with the sorted terms of each document, repeats included.
+    """Adds ``_s``, the sorted terms of each document, repeats included.
 
     ``only_terms`` keeps listed terms; ``only_words`` keeps terms all of whose words are
     listed.
     """
-    words = docs.select(key, document_words(F.col(text)).alias("words"))
+    df = docs.withColumn("_words", document_words(F.col(text)))
     if only_words is not None:
         # An unlisted word becomes NULL but stays in place, so neighbours stay neighbours.
-        words = words.select(
-            key, F.transform("words", lambda w: F.when(w.isin(list(only_words)), w)).alias("words")
-        )
-    terms = document_terms(F.col("words"), ngram)
+        listed = F.transform("_words", lambda w: F.when(w.isin(list(only_words)), w))
+        df = df.withColumn("_words", listed)
+    terms = document_terms(F.col("_words"), ngram)
     if only_words is not None:
         terms = F.filter(terms, lambda t: t.isNotNull())
     if only_terms is not None:
         terms = F.filter(terms, lambda t: t.isin(list(only_terms)))
-    return words.select(key, F.sort_array(terms).alias("s"))
+    return df.withColumn("_s", F.sort_array(terms)).drop("_words")
 
 
 def _shifted() -> Column:
     """The sorted terms moved one place, so that each is opposite its successor."""
-    return F.concat(F.array(F.lit("")), F.col("s"))
+    return F.concat(F.array(F.lit("")), F.col("_s"))
 
 
-def term_frequencies(
-    docs: DataFrame,
-    key: str,
-    text: str = "clean_text",
-    ngram: tuple[int, int] = (1, 2),
-    only_terms: Sequence[str] | None = None,
-) -> DataFrame:
-    """``(key, term, tf)`` without a shuffle.
+def _with_frequencies(sorted_terms: DataFrame) -> DataFrame:
+    """Turns ``_s`` into ``_runs``, an array of ``(term, tf)``.
 
-    A document is one row, so its terms are counted in place: sort the terms, find where
-    runs start, and take the distance between starts.
+    A document is one row, so its terms are counted in place: find where runs of equal
+    terms start, and take the distance between starts.
     """
-    heads = F.zip_with("s", _shifted(), lambda term, before: F.when(term != before, term))
+    heads = F.zip_with("_s", _shifted(), lambda term, before: F.when(term != before, term))
     starts = F.filter(
         F.transform(
             heads, lambda t, i: F.when(t.isNotNull(), F.struct(i.alias("at"), t.alias("term")))
         ),
         lambda run: run.isNotNull(),
     )
-    ends = F.concat(F.slice("starts.at", F.lit(2), F.size("starts")), F.array(F.size("s")))
+    ends = F.concat(F.slice("_starts.at", F.lit(2), F.size("_starts")), F.array(F.size("_s")))
     runs = F.zip_with(
-        "starts",
+        "_starts",
         ends,
         lambda run, end: F.struct(run["term"].alias("term"), (end - run["at"]).alias("tf")),
     )
     return (
-        _sorted_terms(docs, key, text, ngram, only_terms)
-        .withColumn("starts", starts)
-        .select(key, F.inline(runs))
-        .filter(F.col("term").isNotNull())
+        sorted_terms.withColumn("_starts", starts)
+        .withColumn("_runs", F.filter(runs, lambda run: run["term"].isNotNull()))
+        .drop("_s", "_starts")
     )
 
 
-def term_totals(
+def term_frequencies(
     docs: DataFrame,
     key: str,
     text: str = "clean_text",
     ngram: tuple[int, int] = (1, 2),
+) -> DataFrame:
+    """``(key, term, tf)`` without a shuffle."""
+    counted = _with_frequencies(_with_sorted_terms(docs.select(key, text), text, ngram))
+    return counted.select(key, F.inline("_runs"))
+
+
+def term_totals(
+    docs: DataFrame,
+    text: str = "clean_text",
+    ngram: tuple[int, int] = (1, 2),
     only_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """``(term, df, total)``; counts are combined per task before the shuffle by term.
@@ -109,8 +111,8 @@ def term_totals(
     In sorted order a term differs from the one before it once per document.
     """
     return (
-        _sorted_terms(docs, key, text, ngram, only_words=only_words)
-        .select(F.inline(F.arrays_zip(F.col("s"), _shifted())).alias("term", "before"))
+        _with_sorted_terms(docs.select(text), text, ngram, only_words=only_words)
+        .select(F.inline(F.arrays_zip(F.col("_s"), _shifted())).alias("term", "before"))
         .filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(
@@ -145,17 +147,17 @@ def tfidf_vocabulary(
     qualifies = (F.col("df") >= min_df) & (F.col("df") <= documents * F.lit(max_df))
     largest_first = [F.desc("total"), F.col("term")]
     if ngram == (1, 2):
-        words = materialize(term_totals(docs, key, text, (1, 1)))
+        words = materialize(term_totals(docs, text, (1, 1)))
         reach = words.filter(qualifies).orderBy(*largest_first).limit(max_features).agg(
             F.when(F.count(F.lit(1)) == max_features, F.min("total")).alias("reach")
         )
         frequent = words.filter(F.col("total") >= F.coalesce(reach.scalar(), F.lit(0)))
         listed = [r["term"] for r in frequent.select("term").limit(LITERAL_WORDS + 1).collect()]
         only_words = listed if len(listed) <= LITERAL_WORDS else None
-        pairs = term_totals(docs, key, text, (2, 2), only_words)
+        pairs = term_totals(docs, text, (2, 2), only_words)
         totals = words.unionByName(pairs)
     else:
-        totals = term_totals(docs, key, text, ngram)
+        totals = term_totals(docs, text, ngram)
     return (
         totals.filter(qualifies)
         .orderBy(*largest_first)
@@ -164,31 +166,55 @@ def tfidf_vocabulary(
     )
 
 
-def _raw_weights(
-    docs: DataFrame,
-    vocabulary: DataFrame,
-    key: str,
-    text: str,
-    ngram: tuple[int, int],
+def _listed_terms(vocabulary: DataFrame) -> list[str] | None:
+    """The terms of a short vocabulary, ``None`` for one beyond ``LITERAL_WORDS``."""
+    rows = vocabulary.select("term").limit(LITERAL_WORDS + 1).collect()
+    return [r["term"] for r in rows] if len(rows) <= LITERAL_WORDS else None
+
+
+def _with_weights(
+    docs: DataFrame, vocabulary: DataFrame, terms: Sequence[str], text: str, ngram: tuple[int, int]
 ) -> DataFrame:
-    """``(key, term, tf, w)`` for vocabulary terms.
+    """Adds ``_weights``, an array of ``(term, tf, w)``, and its sum and length.
 
-    A short vocabulary also thins out the terms before they are counted; one beyond the
-    broadcast limit is joined by shuffle.
+    All in place: a document keeps its row, so nothing is exploded, joined or shuffled.
     """
-    lookup = vocabulary.select("term", "idf")
-    listed = [r["term"] for r in vocabulary.select("term").limit(LITERAL_WORDS + 1).collect()]
-    if len(listed) <= LITERAL_WORDS:
-        lookup = F.broadcast(lookup)
-    else:
-        listed, lookup = None, broadcast_if_small(lookup)
+    buckets = max(len(terms), 1)
+
+    def weight(run: Column) -> Column:
+        idf = looked_up(F.col("_table"), run["term"], buckets)
+        return F.struct(
+            run["term"].alias("term"), run["tf"].alias("tf"), (run["tf"] * idf).alias("w")
+        )
+
+    sums = F.aggregate(
+        "_weights",
+        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
+        lambda acc, r: F.struct(
+            (acc["s"] + r["w"]).alias("s"), (acc["q"] + r["w"] * r["w"]).alias("q")
+        ),
+    )
     return (
-        term_frequencies(docs, key, text, ngram, only_terms=listed)
-        .join(lookup, "term")
-        .select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+        _with_frequencies(_with_sorted_terms(docs, text, ngram, only_terms=terms))
+        .withColumn("_table", lookup_table(vocabulary, "term", "idf", buckets))
+        .withColumn("_weights", F.transform("_runs", weight))
+        .drop("_runs", "_table")
+        .withColumn("_sums", sums)
+        .withColumn("_sum", F.col("_sums.s"))
+        .withColumn("_norm", F.sqrt("_sums.q"))
+        .drop("_sums")
     )
 
 
+def _joined_weights(
+    docs: DataFrame, vocabulary: DataFrame, key: str, text: str, ngram: tuple[int, int]
+) -> DataFrame:
+    """``(key, term, tf, w)`` for vocabularies too long to stand in a plan."""
+    lookup = broadcast_if_small(vocabulary.select("term", "idf"))
+    frequencies = term_frequencies(docs, key, text, ngram).join(lookup, "term")
+    return frequencies.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+
+
 def tfidf_weights(
     docs: DataFrame,
     vocabulary: DataFrame,
@@ -198,11 +224,18 @@ def tfidf_weights(
 ) -> DataFrame:
     """``(key, term, tf, weight)`` with unit Euclidean length per document.
 
-    The window holds one document's terms, at most as many as the vocabulary has.
+    A short vocabulary needs no shuffle.  A long one is joined; the window then holds one
+    document's terms.
     """
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    raw = _raw_weights(docs, vocabulary, key, text, ngram)
-    return raw.withColumn("weight", F.col("w") / norm).drop("w")
+    terms = _listed_terms(vocabulary)
+    if terms is None:
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+        raw = _joined_weights(docs, vocabulary, key, text, ngram)
+        return raw.withColumn("weight", F.col("w") / norm).drop("w")
+    weighted = _with_weights(docs.select(key, text), vocabulary, terms, text, ngram)
+    return weighted.select(key, "_norm", F.inline("_weights")).select(
+        key, "term", "tf", (F.col("w") / F.col("_norm")).alias("weight")
+    )
 
 
 def tfidf_mean(
@@ -217,15 +250,25 @@ def tfidf_mean(
 ) -> DataFrame:
     """Every document with the mean of its weights over the whole vocabulary.
 
-    Only two partial sums per document are shuffled: with w the raw weights, the mean is
-    sum(w) / |w| / vocabulary size.  Short documents and empty vocabularies give 0.
+    With w the raw weights, the mean is sum(w) / |w| / vocabulary size.  Short documents
+    and empty vocabularies give 0.  A short vocabulary is applied in place; for a long one
+    two partial sums per document are shuffled.
     """
     corpus = eligible(docs, min_tokens)
     if vocabulary is None:
         vocabulary = materialize(tfidf_vocabulary(corpus, key, text, max_features, ngram=ngram))
+    terms = _listed_terms(vocabulary)
+    if terms is not None:
+        counts = (F.col("token_count") >= min_tokens) & (F.col("_norm") > 0)
+        mean = F.col("_sum") / F.col("_norm") / max(len(terms), 1)
+        return (
+            _with_weights(docs, vocabulary, terms, text, ngram)
+            .withColumn(out, F.when(counts, mean).otherwise(F.lit(0.0)))
+            .drop("_weights", "_sum", "_norm")
+        )
     size = one_row(vocabulary, F.count(F.lit(1)).alias("n"))["n"]
     means = (
-        _raw_weights(corpus, vocabulary, key, text, ngram)
+        _joined_weights(corpus, vocabulary, key, text, ngram)
         .groupBy(key)
         .agg(F.sum("w").alias("s"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
         .select(key, (F.col("s") / F.col("norm") / size).alias(out))

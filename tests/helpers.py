@@ -6,10 +6,10 @@ import contextlib
 import io
 
 
-def plan(df) -> str:
+def plan(df, mode: str = "formatted") -> str:
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        df.explain("formatted")
+        df.explain(mode)
     return out.getvalue()
 
 

@@ -190,8 +190,10 @@ def test_empty_dictionary_changes_nothing(spark):
 def test_small_dictionary_does_not_shuffle_documents(spark):
     df = token_frame(spark, DOCS)
     dictionary = spark.createDataFrame([("banks", "bank")], "form STRING, lemma STRING")
-    tree = plan(text.apply_lemmas(df, dictionary, "id")).split("\n\n")[0]
-    assert "Exchange" not in tree.split("Subquery")[0] and "Join" not in tree.split("Subquery")[0]
+    got = text.apply_lemmas(df, dictionary, "id")
+    tree = plan(got).split("\n\n")[0].split("Subquery")[0]
+    assert "Exchange" not in tree and "Join" not in tree
+    assert "_table#" not in plan(got, "simple")  # no row carries the lookup table
 
 
 def test_lemmatize_with_lexicon_and_dictionary(spark):
@@ -264,7 +266,9 @@ def test_vocabulary_equals_brute_force(spark, monkeypatch, limit, literals):
     assert "everywhere" not in found
 
 
-def test_weights_have_unit_length_and_mean_covers_vocabulary(spark):
+@pytest.mark.parametrize("literals", [2, 5_000])
+def test_weights_have_unit_length_and_mean_covers_vocabulary(spark, monkeypatch, literals):
+    monkeypatch.setattr(tfidf, "LITERAL_WORDS", literals)
     values = ["aa bb cc aa", "bb cc dd", "ee ff ee"] * 2
     docs = corpus(spark, values).withColumn("token_count", F.lit(20))
     vocabulary = tfidf.tfidf_vocabulary(docs, "id")
@@ -277,6 +281,16 @@ def test_weights_have_unit_length_and_mean_covers_vocabulary(spark):
         assert abs(r["tfidf_mean"] - expected[r["id"]]) < 1e-12
 
 
+def test_short_vocabulary_does_not_shuffle_documents(spark):
+    docs = corpus(spark, ["aa bb cc aa", "bb cc dd"]).withColumn("token_count", F.lit(20))
+    vocabulary = tfidf.tfidf_vocabulary(docs, "id")
+    for df in (tfidf.tfidf_mean(docs, "id", vocabulary=vocabulary), tfidf.tfidf_weights(docs, vocabulary, "id")):
+        tree = plan(df).split("\n\n")[0].split("Subquery")[0]
+        assert "Exchange" not in tree and "Join" not in tree
+        # No row carries the lookup table.
+        assert "_runs" in plan(df, "extended") and "_table#" not in plan(df, "simple")
+
+
 def test_tfidf_mean_zero_cases(spark):
     short = corpus(spark, ["aa bb cc"])
     assert column(tfidf.tfidf_mean(short, "id"), "tfidf_mean") == [0.0]
