@@ -113,6 +113,6 @@ def default_config() -> dict:
         "split": {"method": "temporal", "test_months": 12, "validation_months": 6},
         "versioning": {
             "model_version": "v1.0.0",
-            "experiment_name": "inflation_forecast_mvp",
+            "experiment_name": "inflation_forecast",
         },
     }

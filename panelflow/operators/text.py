@@ -238,6 +238,13 @@ def lemmatize(
     return apply_lemmas(df, dictionary, key, tokens, out)
 
 
+def lemmatized(words: Sequence[str], dictionary: DataFrame) -> list[str]:
+    """A word list in lemmas; reads back at most one row per listed word."""
+    listed = dictionary.filter(F.col("form").isin(list(words))).groupBy("form").agg(F.min("lemma"))
+    known = {form: lemma for form, lemma in listed.collect()}
+    return list(dict.fromkeys(known.get(w, w) for w in words))
+
+
 def keyword_counts(
     df: DataFrame,
     lemmas: str = "lemmas",
@@ -300,13 +307,14 @@ def article_tokens(
     html: str | None = "html",
     mode: str = "parser",
     stop_words: Sequence[str] | None = None,
+    fold_accents: bool = False,
 ) -> DataFrame:
     """Clean, gate, normalise and tokenize: the narrow half of the article pipeline.
 
     With ``html=None`` the table already has clean ``text``.
     """
     df = pages if html is None else clean_html(pages, html, mode=mode).drop(html)
-    words = T.word_tokens(T.normalized(F.col("text")))
+    words = T.word_tokens(T.normalized(F.col("text"), fold_accents))
     tokens = T.content_tokens(words, stop_words)
     return min_token_filter(with_computed(min_text_filter(df), tokens=tokens))
 
@@ -322,14 +330,20 @@ def article_features(
     negative: Sequence[str] = config.NEGATIVE_WORDS,
     lexicon: DataFrame | None = None,
     dictionary: DataFrame | None = None,
+    fold_accents: bool = False,
+    count: str = "presence",
+    phrases: bool = False,
+    lemmatize_lexicon: bool = False,
 ) -> DataFrame:
     """One feature row per page that passes the length and token gates.
 
     Without a dictionary the tokens are written once, so pages are parsed only once
-    although the corpus words and the features are two passes.
+    although the corpus words and the features are two passes.  ``lemmatize_lexicon``
+    also puts the listed words into their lemma, so that plural entries can match.
     """
     labels = ("url", "published", "title")
-    df = article_tokens(pages, html, mode, stop_words)
+    categories = config.ECONOMIC_KEYWORDS if categories is None else categories
+    df = article_tokens(pages, html, mode, stop_words, fold_accents)
     df = df.select(
         key,
         F.coalesce("source", F.lit("unknown")).alias("source"),
@@ -339,10 +353,14 @@ def article_features(
     )
     if dictionary is None:
         df = materialize(df)
-    df = lemmatize(df, key, lexicon=lexicon, dictionary=dictionary)
-    df = sentiment_score(keyword_counts(df, categories=categories), positive=positive, negative=negative)
+        dictionary = materialize(lemma_dictionary(corpus_words(df), lexicon))
+    if lemmatize_lexicon:
+        positive, negative = (lemmatized(w, dictionary) for w in (positive, negative))
+        categories = {c: lemmatized(w, dictionary) for c, w in categories.items()}
+    df = apply_lemmas(df, dictionary, key)
+    df = keyword_counts(df, categories=categories, count=count, phrases=phrases)
+    df = sentiment_score(df, positive=positive, negative=negative)
     df = text_stats(df, text=None)
-    names = config.ECONOMIC_KEYWORDS if categories is None else categories
     return df.select(
         key,
         "source",
@@ -353,5 +371,5 @@ def article_features(
         "vocabulary_richness",
         "sentiment_score",
         "clean_text",
-        *[f"keyword_{c}" for c in names],
+        *[f"keyword_{c}" for c in categories],
     )

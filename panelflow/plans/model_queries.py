@@ -447,7 +447,7 @@ _EVERYTHING = {**_METRICS, **_MAPE, **_SPREAD}
     "metrics_report",
     select(
         _doubles(_EVERYTHING) + " directional_accuracy:f model_version:s dataset:s algorithm:s",
-        f"SELECT *, 'v1.0.0' AS model_version, 'inflation_forecast_mvp' AS dataset, 'xgboost' AS algorithm "
+        f"SELECT *, 'v1.0.0' AS model_version, 'inflation_forecast' AS dataset, 'xgboost' AS algorithm "
         f"FROM ({_aggregates(_EVERYTHING)}), ({_ACCURACY})",
         O.chain(_DIRECTION),
     ),

@@ -229,6 +229,22 @@ def test_article_pipeline_gates_short_pages(spark):
     assert row["token_count"] == len(row["clean_text"].split())
 
 
+def test_article_options(spark):
+    words = " ".join(f"filler{chr(97 + i)}" for i in range(12))
+    html = f"<p>{words} jobs jobs job débil interest rate banana pineapple pineapple pineapple</p>"
+    pages = spark.createDataFrame(
+        [("a.html", html, "s", "u", "2020-01-05", "t")],
+        "html_path STRING, html STRING, source STRING, url STRING, published STRING, title STRING",
+    )
+    plain = text.article_features(pages).first()
+    assert (plain["keyword_unemployment"], plain["keyword_interest"], plain["sentiment_score"]) == (0, 0, 0.0)
+    options = {"negative": ["debil"], "fold_accents": True, "phrases": True, "lemmatize_lexicon": True}
+    changed = text.article_features(pages, **options).first()
+    assert (changed["keyword_unemployment"], changed["keyword_interest"], changed["sentiment_score"]) == (1, 1, -1.0)
+    counted = text.article_features(pages, count="occurrences", lemmatize_lexicon=True).first()
+    assert counted["keyword_unemployment"] == 3
+
+
 def corpus(spark, values):
     rows_ = [(i, v, len(v.split())) for i, v in enumerate(values)]
     return spark.createDataFrame(rows_, "id INT, clean_text STRING, token_count INT")
