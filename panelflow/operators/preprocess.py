@@ -96,6 +96,11 @@ def impute(
     fill: float = 0.0,
     exact: bool = True,
 ) -> DataFrame:
+    """Fill missing numbers with a statistic of the training rows.
+
+    A column without any training value stays NULL here, as the columns of a lazy plan
+    cannot depend on data; ``PanelPreprocessor`` drops it.
+    """
     fills = _with_row(apply_to, fill_values(train, cols, strategy, fill, exact))
     return fills.withColumns({c: F.coalesce(_number(c), F.col("_fit")[c]) for c in cols}).drop("_fit")
 
