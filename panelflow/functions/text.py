@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import lru_cache
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, functions as F
 
+from panelflow.config import ENGLISH_STOP_WORDS, SPANISH_STOP_WORDS
 from panelflow.functions.html import SPACE
 
 # One character class instead of an alternation under a repeat, so that
@@ -31,11 +31,8 @@ ACCENTED, FOLDED = "áàâäãåéèêëíìîïóòôöõúùûüñç", "aaaaaa
 
 @lru_cache
 def default_stop_words() -> tuple[str, ...]:
-    """English and Spanish stop words shipped with Spark ML."""
-    words = set()
-    for language in ("english", "spanish"):
-        words.update(StopWordsRemover.loadDefaultStopWords(language))
-    return tuple(sorted(words))
+    """English and Spanish stop words, sorted."""
+    return tuple(sorted({*ENGLISH_STOP_WORDS, *SPANISH_STOP_WORDS}))
 
 
 def normalized(text: Column, fold_accents: bool = False) -> Column:
