@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,10 +35,13 @@ def local_session(app: str = "panelflow", cpus: int | str = "*", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (unit tests) a local folder is chosen.
+    Only a local master may go without that setting: a folder of this machine is made then.
+    On a cluster executors would each write to a disk of their own, so it is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="panelflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
