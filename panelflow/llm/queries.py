@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
 from panelflow.llm.line_dedup import drop_boilerplate
+from panelflow.llm.packing import pack_documents
+from panelflow.llm.rans import read_digest, tokenized, write_ids
 from panelflow.llm.url_filter import judge_urls
+from panelflow.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,3 +113,16 @@ def url_filter(spark: SparkSession, sf: str) -> DataFrame:
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     return drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
+
+
+@query("op2_token_files")
+def token_files(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = tokenized(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    path = scratch_path(spark, "token-ids")
+    write_ids(materialize(tokens), path)
+    return read_digest(spark, path)
+
+
+@query("op9_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
