@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelflow.llm.decontaminate import find_contamination
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
 from panelflow.llm.line_dedup import drop_boilerplate
 from panelflow.llm.packing import pack_documents
@@ -126,3 +127,35 @@ def token_files(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op3_decontamination",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+    ), b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(13, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
+    ), starts AS (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM b WHERE k > 0
+    ), grams AS (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM starts
+    ), sizes AS (SELECT DISTINCT k FROM grams
+    ), places AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes WHERE len(w) >= k
+    ), found AS (
+        SELECT r, p, f.k, item FROM (SELECT r, p, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM places) f
+        JOIN grams ON grams.k = f.k AND grams.g = f.g
+    ), hits AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS q FROM found) GROUP BY r
+    ), items AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+    """,
+)
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), carry=["doc_id"])
+    return found.drop("matches")
