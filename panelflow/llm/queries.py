@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelflow.llm.decontaminate import find_contamination
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
+from panelflow.llm.html_text import extract_main_text
 from panelflow.llm.line_dedup import drop_boilerplate
 from panelflow.llm.packing import pack_documents
+from panelflow.llm.quality import score_quality
 from panelflow.llm.rans import read_digest, tokenized, write_ids
 from panelflow.llm.url_filter import judge_urls
 from panelflow.session import materialize, scratch_path
@@ -159,3 +161,14 @@ _WORDS = (
 def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), carry=["doc_id"])
     return found.drop("matches")
+
+
+@query("op4_html_text")
+def html_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_quality")
+def quality(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
