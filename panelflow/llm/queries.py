@@ -11,6 +11,7 @@ from panelflow.llm.decontaminate import find_contamination
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
 from panelflow.llm.html_text import extract_main_text
 from panelflow.llm.line_dedup import drop_boilerplate
+from panelflow.llm.near_dedup import near_duplicates
 from panelflow.llm.packing import pack_documents
 from panelflow.llm.quality import score_quality
 from panelflow.llm.rans import read_digest, tokenized, write_ids
@@ -172,3 +173,8 @@ def html_text(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_quality")
 def quality(spark: SparkSession, sf: str) -> DataFrame:
     return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op1_near_dedup")
+def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
