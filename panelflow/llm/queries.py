@@ -11,6 +11,7 @@ from panelflow.llm.decontaminate import find_contamination
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
 from panelflow.llm.html_text import extract_main_text
 from panelflow.llm.line_dedup import drop_boilerplate
+from panelflow.llm.lm_score import score_texts
 from panelflow.llm.near_dedup import near_duplicates
 from panelflow.llm.packing import pack_documents
 from panelflow.llm.quality import score_quality
@@ -178,3 +179,9 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_near_dedup")
 def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
+
+
+@query("op6_lm_score")
+def lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    end_of_text = 49407
+    return score_texts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_of_text)
