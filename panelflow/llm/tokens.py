@@ -26,7 +26,7 @@ RUNS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 AFTER_SPACE = tuple(f"{c} " for c in SPACES)
 MARKS = ".,;:!?"
 # Pieces remembered per worker (twice as many at most), and the longest that is remembered.
-KEPT_PIECES, KEPT_CHARS = 500_000, 40
+KEPT_PIECES, KEPT_CHARS = 800_000, 40
 # Longer pieces with a mark are put together from their parts each time.
 SHORT = 8
 
