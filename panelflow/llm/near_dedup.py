@@ -31,7 +31,7 @@ TREES, BRANCHES = 3, 2
 NODE_ROWS, LEVELS = 512, 3
 # Sets of a dense node that all of its others are compared with, and how many unconnected
 # sets a dense node may have to be compared with all at once.
-PIVOTS, LOOSE = 8, 256
+PIVOTS, LOOSE = 8, 32
 # Sketches this far below the threshold are not looked at: over four standard deviations.
 MARGIN = 0.15
 SALTS = 64
@@ -227,17 +227,18 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
     return both.mapInArrow(run, "key string, comp string, p_key string, p_comp string")
 
 
-def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, percent: int) -> DataFrame:
+def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, last: bool, floor: float, percent: int) -> DataFrame:
     """Links of nodes that stay large: to pivots, or to all loose sets where these are few.
 
     A set is loose if it is outside the node's largest component.  Sets within one component
     need no comparison, so ``loose x all`` settles a node; before that, each tree takes other
-    pivots, which connect most of a group of copies.  Work is linear in the node's rows.
+    pivots, which connect most of a group of copies.  Work is linear in the node's rows.  The
+    last tree settles every node, however many sets are loose.
     """
     parts = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
     sums = parts.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     marked = rows.join(broadcast_if_small(sums), "node")
-    loose = (F.col("all") - F.col("top.n")) <= LOOSE
+    loose = F.lit(True) if last else (F.col("all") - F.col("top.n")) <= LOOSE
     settled = marked.filter(loose & (F.col("comp") != F.col("top.comp"))).select("node", "key", "comp", "sketch")
     order = F.struct(F.xxhash64("key", F.lit(tree)).alias("h"), "key", "comp", "sketch")
     chosen = marked.filter(~loose).groupBy("node", F.pmod(F.xxhash64("key", F.lit(tree), F.lit("p")), F.lit(PIVOTS)).alias("seat"))
@@ -292,7 +293,7 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, percent: int) -> DataFrame:
+def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, last: bool, percent: int) -> DataFrame:
     """Links of one tree between components, each with labels of the components."""
     floor = percent / 100 - MARGIN
     rows = reps.select("key", "sketch")
@@ -320,7 +321,7 @@ def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
     needed = broadcast_if_small(clusters.select("key").distinct())
     found.append(_confirmed(clusters, sets.join(needed, "key", "left_semi"), percent))
     if not large.isEmpty():
-        found.append(_dense_links(large, sets, tree, floor, percent))
+        found.append(_dense_links(large, sets, tree, last, floor, percent))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -349,7 +350,7 @@ def near_duplicates(
     chosen = sets.join(broadcast_if_small(repeated), "key", "left")
     chosen = chosen.filter(F.col("first_id").isNull() | F.col("id").eqNullSafe(F.col("first_id"))).select("key", "items")
     for tree in range(trees):
-        more = _tree_links(reps, chosen, comps, tree, percent)
+        more = _tree_links(reps, chosen, comps, tree, tree == trees - 1, percent)
         links = more if links is None else links.unionByName(more)
         if tree == trees - 1 or not more.isEmpty():
             comps = materialize(components(links))
