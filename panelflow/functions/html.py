@@ -120,7 +120,7 @@ def _badly_nested(tags: Column) -> Column:
         return F.exists(pairs, lambda early: early)
 
     ends = F.filter(tags, lambda t: F.startswith(t, F.lit("</")))
-    names = F.array_distinct(F.transform(ends, lambda t: F.substring(t, 3, 1000)))
+    names = F.array_distinct(F.transform(ends, lambda t: F.substring(t, F.lit(3), F.length(t))))
     return (F.size(F.filter(tags, lambda t: t == F.get(tags, 0))) > 1) | F.exists(names, leaves)
 
 

@@ -12,7 +12,7 @@ from panelflow.functions import text as T
 from panelflow.functions.lookup import looked_up, lookup_table
 from panelflow.functions.numbers import half_even
 from panelflow.functions.once import with_computed
-from panelflow.session import materialize, rows_up_to
+from panelflow.session import materialize, numbered, rows_up_to
 
 # Noun endings and what replaces them.
 NOUN_ENDINGS = [
@@ -31,7 +31,7 @@ NOUN_ENDINGS = [
 DICTIONARY_LIMIT = 100_000
 
 
-def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str = "parser") -> DataFrame:
+def clean_html(df: DataFrame, html: str = "html", out: str = "text", mode: str = "native") -> DataFrame:
     """Visible text of a page.
 
     ``parser`` runs an HTML parser over Arrow batches and is exact on any markup.
@@ -150,17 +150,16 @@ def _lemmas_by_table(df: DataFrame, dictionary: DataFrame, tokens: str, out: str
     )
 
 
-def _lemmas_by_join(
-    df: DataFrame, dictionary: DataFrame, key: str, tokens: str, out: str, limit: int
-) -> DataFrame:
+def _lemmas_by_join(df: DataFrame, dictionary: DataFrame, tokens: str, out: str, limit: int) -> DataFrame:
     """Frequent words are looked up in place and only rare ones are joined.
 
     The ``limit`` most frequent words of the texts, listed in the dictionary or not, form
     the table, so no word left for the join fills more than a ``limit``-th of the tokens.
     Rows that need no join get a key of their own and are spread evenly.  Tokens are then
-    gathered per document (at most its own, partially gathered before that shuffle); all
+    gathered per row, by a number written with it, so rows that share a key stay apart; all
     other columns ride on the first token.
     """
+    df, row = numbered(df), "_row"
     frequent = (
         df.select(F.explode(tokens).alias("form"))
         .groupBy("form")
@@ -172,14 +171,14 @@ def _lemmas_by_join(
         frequent.join(dictionary, "form", "left").select("form", F.coalesce("lemma", "form").alias("lemma"))
     )
     buckets = max(limit, 1)
-    rest = [c for c in df.columns if c not in (key, out)]
+    rest = [c for c in df.columns if c not in (row, out)]
     first = F.col("_pos").isNull() | (F.col("_pos") == 0)
     # Starts with a space, so it equals no token.
-    alone = F.concat(F.lit(" "), F.xxhash64(key, "_pos").cast("string"))
+    alone = F.concat(F.lit(" "), F.xxhash64(row, "_pos").cast("string"))
     spread = (
-        df.select(key, F.struct(*rest).alias("_rest"), F.posexplode_outer(tokens).alias("_pos", "_token"))
+        df.select(row, F.struct(*rest).alias("_rest"), F.posexplode_outer(tokens).alias("_pos", "_token"))
         .select(
-            key,
+            row,
             "_pos",
             "_token",
             F.when(first, F.col("_rest")).alias("_rest"),
@@ -190,12 +189,12 @@ def _lemmas_by_join(
     joined = spread.join(dictionary, spread["_form"] == dictionary["form"], "left")
     word = F.struct("_pos", F.coalesce("_hot", "lemma", "_token").alias("w"))
     return (
-        joined.groupBy(key)
+        joined.groupBy(row)
         .agg(
             F.first("_rest", ignorenulls=True).alias("_rest"),
             F.sort_array(F.collect_list(F.when(F.col("_token").isNotNull(), word))).alias("_l"),
         )
-        .select(key, "_rest.*", F.col("_l.w").alias(out))
+        .select("_rest.*", F.col("_l.w").alias(out))
     )
 
 
@@ -207,7 +206,7 @@ def apply_lemmas(
     out: str = "lemmas",
     limit: int = DICTIONARY_LIMIT,
 ) -> DataFrame:
-    """Replace tokens by their lemma, keeping order and repeats.  ``key`` must be unique.
+    """Replace tokens by their lemma, keeping order, repeats and rows, also of repeated or null keys.
 
     The dictionary is counted first.  Up to ``limit`` forms it is looked up in place, and
     documents are not shuffled; beyond that rare words are looked up by a join.
@@ -216,7 +215,7 @@ def apply_lemmas(
     size = rows_up_to(dictionary, limit)
     if size is not None:
         return _lemmas_by_table(df, dictionary, tokens, out, size)
-    return _lemmas_by_join(df, dictionary, key, tokens, out, limit)
+    return _lemmas_by_join(df, dictionary, tokens, out, limit)
 
 
 def lemmatize(
@@ -305,7 +304,7 @@ def text_stats(
 def article_tokens(
     pages: DataFrame,
     html: str | None = "html",
-    mode: str = "parser",
+    mode: str = "native",
     stop_words: Sequence[str] | None = None,
     fold_accents: bool = False,
 ) -> DataFrame:
@@ -323,7 +322,7 @@ def article_features(
     pages: DataFrame,
     key: str = "html_path",
     html: str | None = "html",
-    mode: str = "parser",
+    mode: str = "native",
     stop_words: Sequence[str] | None = None,
     categories: Mapping[str, Sequence[str]] | None = None,
     positive: Sequence[str] = config.POSITIVE_WORDS,

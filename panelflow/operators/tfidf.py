@@ -10,7 +10,7 @@ from panelflow import config
 from panelflow.functions.lookup import looked_up, lookup_table
 from panelflow.functions.numbers import one_row
 from panelflow.functions.text import adjacent_pairs
-from panelflow.session import broadcast_if_small, materialize
+from panelflow.session import broadcast_if_small, materialize, numbered
 
 # Up to this many words may stand in a plan as literals (looked up as a hash set).
 LITERAL_WORDS = 5_000
@@ -229,9 +229,10 @@ def tfidf_weights(
     """
     terms = _listed_terms(vocabulary)
     if terms is None:
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-        raw = _joined_weights(docs, vocabulary, key, text, ngram)
-        return raw.withColumn("weight", F.col("w") / norm).drop("w")
+        rows = numbered(docs.select(key, text))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
+        raw = _joined_weights(rows, vocabulary, "_row", text, ngram).withColumn("weight", F.col("w") / norm)
+        return raw.join(rows.select("_row", key), "_row").select(key, "term", "tf", "weight")
     weighted = _with_weights(docs.select(key, text), vocabulary, terms, text, ngram)
     return weighted.select(key, "_norm", F.inline("_weights")).select(
         key, "term", "tf", (F.col("w") / F.col("_norm")).alias("weight")
@@ -267,13 +268,15 @@ def tfidf_mean(
             .drop("_weights", "_sum", "_norm")
         )
     size = one_row(vocabulary, F.count(F.lit(1)).alias("n"))["n"]
+    rows = numbered(docs)
     means = (
-        _joined_weights(corpus, vocabulary, key, text, ngram)
-        .groupBy(key)
+        _joined_weights(eligible(rows, min_tokens), vocabulary, "_row", text, ngram)
+        .groupBy("_row")
         .agg(F.sum("w").alias("s"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        .select(key, (F.col("s") / F.col("norm") / size).alias(out))
+        .select("_row", (F.col("s") / F.col("norm") / size).alias("_mean"))
     )
-    return docs.join(means, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    joined = rows.join(means, "_row", "left").withColumn(out, F.coalesce(F.col("_mean"), F.lit(0.0)))
+    return joined.drop("_row", "_mean")
 
 
 def corpus_features(articles: DataFrame, key: str) -> DataFrame:

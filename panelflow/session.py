@@ -63,6 +63,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df``, written, with a number per row, so that rows can be told apart without a key.
+
+    Numbers are fixed by the write; a column computed again might come out differently.
+    """
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def fill_cores(df: DataFrame) -> DataFrame:
     """Spread an input of fewer partitions than cores before per-row text work.
 

@@ -181,6 +181,18 @@ def test_lookup_paths_agree(spark, limit):
     assert column(got, "title") == ["kept"] * 4
 
 
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_rows_of_repeated_and_null_keys_stay_apart(spark, limit):
+    rows = [("a", ["banks", "glass"]), ("a", ["banks"]), (None, ["cities", "city"]), (None, []), ("a", ["banks"])]
+    df = spark.createDataFrame(rows, "id STRING, tokens ARRAY<STRING>")
+    dictionary = spark.createDataFrame([("banks", "bank"), ("cities", "city")], "form STRING, lemma STRING")
+    got = text.apply_lemmas(df, dictionary, "id", limit=limit)
+    assert got.columns == ["id", "tokens", "lemmas"]
+    mapped = {"banks": "bank", "cities": "city"}
+    want = sorted((str(k), [mapped.get(t, t) for t in ts]) for k, ts in rows)
+    assert sorted((str(r["id"]), r["lemmas"]) for r in got.collect()) == want
+
+
 def test_empty_dictionary_changes_nothing(spark):
     df = token_frame(spark, DOCS)
     nothing = spark.createDataFrame([], "form STRING, lemma STRING")
@@ -297,6 +309,25 @@ def test_weights_have_unit_length_and_mean_covers_vocabulary(spark, monkeypatch,
         assert abs(r["tfidf_mean"] - expected[r["id"]]) < 1e-12
 
 
+def test_weights_of_repeated_and_null_keys_are_the_same_on_both_paths(spark, monkeypatch):
+    rows = [("a", "aa bb cc aa", 20), ("a", "bb cc dd", 20), (None, "ee ff ee", 20), (None, "aa aa", 3), ("b", "", 20), ("a", "bb cc dd", 20)]
+    docs = spark.createDataFrame(rows, "id STRING, clean_text STRING, token_count INT")
+    vocabulary = tfidf.tfidf_vocabulary(docs, "id")
+    found = []
+    for literals in (5_000, 2):
+        monkeypatch.setattr(tfidf, "LITERAL_WORDS", literals)
+        mean = tfidf.tfidf_mean(docs, "id", vocabulary=vocabulary)
+        weights = tfidf.tfidf_weights(docs, vocabulary, "id")
+        assert mean.columns == [*docs.columns, "tfidf_mean"]
+        found.append(
+            (
+                sorted((str(r["id"]), r["clean_text"], round(r["tfidf_mean"], 9)) for r in mean.collect()),
+                sorted((str(r["id"]), r["term"], r["tf"], round(r["weight"], 9)) for r in weights.collect()),
+            )
+        )
+    assert found[0] == found[1] and len(found[0][0]) == len(rows)
+
+
 def test_short_vocabulary_does_not_shuffle_documents(spark):
     docs = corpus(spark, ["aa bb cc aa", "bb cc dd"]).withColumn("token_count", F.lit(20))
     vocabulary = tfidf.tfidf_vocabulary(docs, "id")
