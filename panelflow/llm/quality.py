@@ -17,7 +17,7 @@ from panelflow.config import ENGLISH_STOP_WORDS, SPANISH_STOP_WORDS
 from panelflow.llm.tokens import slices
 from panelflow.session import materialize
 
-# Labelled rows that are fitted on at most: those with the smallest hash of the id.
+# Labelled rows that are fitted on, chosen by hash of the id where there are more.
 MAX_LABELLED = 20_000
 TREES, DEPTH, BINS, RATE, LEAST_ROWS, PENALTY = 60, 4, 64, 0.15, 20, 1.0
 
@@ -166,10 +166,13 @@ def held_out(id_col: Column) -> Column:
 
 
 def labelled_sample(statistics_of: DataFrame, labels: DataFrame, id_col: str, label: str, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of up to ``most`` rows that are not held out, by hash of the id."""
+    """Statistics and labels of about ``most`` rows that are not held out, or of all if there are fewer."""
     known = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("_y")).filter("_y IN (0, 1)")
     rows = statistics_of.select(F.col(f"`{id_col}`").alias("_id"), "_x").join(known, "_id").filter(~held_out(F.col("_id")))
-    taken = rows.orderBy(F.xxhash64("_id"), "_id", "_y").limit(most).toPandas()
+    total = rows.count()
+    if total > most:  # by hash, so that no task sends more than its share
+        rows = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < most * 1_000_000 // total)
+    taken = rows.toPandas().sort_values(["_id", "_y"])
     x = np.array(taken["_x"].tolist(), dtype=float).reshape(len(taken), len(STATISTICS))
     return x, taken["_y"].to_numpy(dtype=float)
 
