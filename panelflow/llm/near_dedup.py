@@ -8,8 +8,8 @@ that are connected already are not compared again, and only links that join comp
 passed on, so a group of copies never becomes all of its pairs.
 
 A pair of similarity ``s`` shares a node of a tree with probability ``1 - (1 - s) ** BRANCHES``
-where nodes are small; three trees of two branches miss it once in 88,000 at 0.85 and once
-in 15,000 at 0.8.
+where nodes are small; four trees of two branches miss it once in 3.9 million at 0.85 and
+once in 390,000 at 0.8.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from panelflow.llm.tokens import slices
 from panelflow.session import broadcast_if_small, materialize
 
 COORDINATES = 128
-TREES, BRANCHES = 3, 2
+TREES, BRANCHES = 4, 2
 # Largest node that is compared exhaustively, and levels of dealing before the dense rule.
 NODE_ROWS, LEVELS = 512, 3
 # Sets of a dense node that all of its others are compared with, and how many unconnected
@@ -227,18 +227,18 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
     return both.mapInArrow(run, "key string, comp string, p_key string, p_comp string")
 
 
-def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, last: bool, floor: float, percent: int) -> DataFrame:
-    """Links of nodes that stay large: to pivots, or to all loose sets where these are few.
+def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, percent: int) -> DataFrame:
+    """Links in large nodes of every level: to pivots, or to all loose sets where these are few.
 
     A set is loose if it is outside the node's largest component.  Sets within one component
     need no comparison, so ``loose x all`` settles a node; before that, each tree takes other
-    pivots, which connect most of a group of copies.  Work is linear in the node's rows.  The
-    last tree settles every node, however many sets are loose.
+    pivots, which connect most of a group of copies.  Work is linear in the node's rows.  A
+    set with very few links in a node that is never settled may be missed by all trees.
     """
     parts = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
     sums = parts.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     marked = rows.join(broadcast_if_small(sums), "node")
-    loose = F.lit(True) if last else (F.col("all") - F.col("top.n")) <= LOOSE
+    loose = F.col("all") - F.col("top.n") <= LOOSE
     settled = marked.filter(loose & (F.col("comp") != F.col("top.comp"))).select("node", "key", "comp", "sketch")
     order = F.struct(F.xxhash64("key", F.lit(tree)).alias("h"), "key", "comp", "sketch")
     chosen = marked.filter(~loose).groupBy("node", F.pmod(F.xxhash64("key", F.lit(tree), F.lit("p")), F.lit(PIVOTS)).alias("seat"))
@@ -293,7 +293,7 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, last: bool, percent: int) -> DataFrame:
+def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, percent: int) -> DataFrame:
     """Links of one tree between components, each with labels of the components."""
     floor = percent / 100 - MARGIN
     rows = reps.select("key", "sketch")
@@ -306,12 +306,14 @@ def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
     rows = materialize(_dealt(rows.withColumn("node", F.explode(roots))))
     small, found = [rows.filter(F.col("rows") <= NODE_ROWS)], []
     large = rows.filter(F.col("rows") > NODE_ROWS).drop("rows")
+    dense = []
     for level in range(LEVELS):
         if large.isEmpty():
             break
         chosen = [F.pmod(F.xxhash64("node", F.lit(level), F.lit(b)), F.lit(COORDINATES)).cast("int") for b in range(BRANCHES if not level else 1)]
         deeper = large.withColumn("node", F.explode(F.array(*[F.xxhash64("node", c, _coordinate(c)) for c in chosen])))
         deeper = materialize(_dealt(deeper))
+        dense.append(large)
         small.append(deeper.filter(F.col("rows") <= NODE_ROWS))
         large = deeper.filter(F.col("rows") > NODE_ROWS).drop("rows")
     leaves = small[0]
@@ -320,8 +322,12 @@ def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
     clusters = materialize(_clusters(leaves, floor))
     needed = broadcast_if_small(clusters.select("key").distinct())
     found.append(_confirmed(clusters, sets.join(needed, "key", "left_semi"), percent))
-    if not large.isEmpty():
-        found.append(_dense_links(large, sets, tree, last, floor, percent))
+    dense.append(large)
+    held = dense[0]
+    for more in dense[1:]:
+        held = held.unionByName(more)
+    if not held.isEmpty():
+        found.append(_dense_links(held, sets, tree, floor, percent))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -350,7 +356,7 @@ def near_duplicates(
     chosen = sets.join(broadcast_if_small(repeated), "key", "left")
     chosen = chosen.filter(F.col("first_id").isNull() | F.col("id").eqNullSafe(F.col("first_id"))).select("key", "items")
     for tree in range(trees):
-        more = _tree_links(reps, chosen, comps, tree, tree == trees - 1, percent)
+        more = _tree_links(reps, chosen, comps, tree, percent)
         links = more if links is None else links.unionByName(more)
         if tree == trees - 1 or not more.isEmpty():
             comps = materialize(components(links))
