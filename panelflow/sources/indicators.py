@@ -14,8 +14,10 @@ def _records(payload: Column) -> Column:
 
 
 def _well_formed(payload: Column) -> Column:
-    """A page is a JSON list of at least two elements."""
-    return F.coalesce(F.json_array_length(payload) >= 2, F.lit(False))
+    """A page is a JSON list of at least two elements, the second a list or null."""
+    records = F.get_json_object(payload, "$[1]")
+    shaped = F.coalesce(records, F.lit("null")).rlike(r"^(\[|null$)")
+    return F.coalesce((F.json_array_length(payload) >= 2) & shaped, F.lit(False))
 
 
 def parse_indicator_payload(

@@ -43,6 +43,12 @@ def test_payload_rejects(spark):
     assert reasons == ["date is not a year"] + ["malformed payload"] * 4 + ["value is not a number"]
 
 
+@pytest.mark.parametrize("second", ['{"a":1}', '"x"', "3"])
+def test_a_second_element_that_is_no_list_is_rejected(spark, second):
+    records, rejects = indicators.parse_indicator_payload(payloads(spark, [f"[{{}},{second}]"]))
+    assert records.count() == 0 and column(rejects, "reason") == ["malformed payload"]
+
+
 def test_page_completeness(spark):
     def done(values):
         return indicators.page_completeness(payloads(spark, values)).first().asDict()
