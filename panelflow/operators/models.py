@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterable
 from multiprocessing.pool import ThreadPool
 
@@ -22,10 +23,15 @@ def _columns(cfg: dict) -> dict:
 
 
 def random_forest(cfg: dict) -> RandomForestRegressor:
-    """All features compete at each split.  A node is split only into children of at
-    least ``min_samples_leaf`` rows, or half of ``min_samples_split`` where that is more."""
+    """All features compete at each split; children have at least ``min_samples_leaf`` rows.
+
+    MLlib has no least size of a node that may be split, so a ``min_samples_split`` that would
+    forbid more than ``min_samples_leaf`` does is warned about and not applied.
+    """
     h = cfg["model"].get("hyperparameters", {})
-    smallest = max(h.get("min_samples_leaf", 1), h.get("min_samples_split", 2) // 2)
+    smallest = h.get("min_samples_leaf", 1)
+    if h.get("min_samples_split", 2) > 2 * smallest:
+        warnings.warn("min_samples_split is not supported and not applied; use min_samples_leaf", stacklevel=2)
     return RandomForestRegressor(
         numTrees=h.get("n_estimators", 200),
         maxDepth=min(h.get("max_depth", 10), DEEPEST),
@@ -69,6 +75,12 @@ def build_regressor(cfg: dict) -> Estimator:
     return builders.get(cfg["model"].get("algorithm"), default_forest)(cfg)
 
 
+def _labelled(df: DataFrame, cfg: dict) -> DataFrame:
+    """Configured features that the table has, and the target, of rows that have a target."""
+    features = [c for c in [*cfg["features"]["numeric"], *cfg["features"]["text"]] if c in df.columns]
+    return df.select(*features, cfg["target"]).filter(F.col(cfg["target"]).isNotNull())
+
+
 def train_model(train: DataFrame, cfg: dict | None = None, exact: bool = True) -> PipelineModel:
     """Fit preprocessor and regressor on the rows that have a target.
 
@@ -76,8 +88,7 @@ def train_model(train: DataFrame, cfg: dict | None = None, exact: bool = True) -
     part of them.
     """
     cfg = cfg or config.default_config()
-    features = [c for c in [*cfg["features"]["numeric"], *cfg["features"]["text"]] if c in train.columns]
-    rows = train.select(*features, cfg["target"]).filter(F.col(cfg["target"]).isNotNull()).persist()
+    rows = _labelled(train, cfg).persist()
     try:
         stages = [PanelPreprocessor.from_config(rows, cfg, exact), build_regressor(cfg)]
         return Pipeline(stages=stages).fit(rows)
@@ -108,29 +119,33 @@ def search_hyperparameters(
     grid: Iterable[dict],
     cfg: dict | None = None,
     parallelism: int = 2,
+    exact: bool = True,
 ) -> DataFrame:
     """``(hyperparameters, rmse)`` per setting, best first.
 
     Time is respected: every setting is fitted on the training months and scored on the
-    fixed validation months.
+    fixed validation months.  Settings share one fit of the preprocessor and one copy of the
+    prepared rows; each grows its own trees.
     """
     cfg = cfg or config.default_config()
     target = cfg["target"]
-    train, validation = train.persist(), validation.filter(F.col(target).isNotNull()).persist()
+    rows = _labelled(train, cfg)
+    prepared = PanelPreprocessor.from_config(rows, cfg, exact).fit(rows)
+    fitted, scored_on = (prepared.transform(x).select("features", target).persist() for x in (rows, _labelled(validation, cfg)))
 
     def score(setting: dict) -> tuple[str, float]:
         merged = {**cfg["model"].get("hyperparameters", {}), **setting}
-        model = train_model(train, {**cfg, "model": {**cfg["model"], "hyperparameters": merged}})
+        regressor = build_regressor({**cfg, "model": {**cfg["model"], "hyperparameters": merged}})
         error = F.col(target) - F.col("prediction")
         rmse = F.sqrt(F.avg(error * error)).alias("rmse")
-        return json.dumps(setting, sort_keys=True), model.transform(validation).agg(rmse).first()["rmse"]
+        return json.dumps(setting, sort_keys=True), regressor.fit(fitted).transform(scored_on).agg(rmse).first()["rmse"]
 
     try:
         with ThreadPool(parallelism) as pool:
             scored = pool.map(score, list(grid))
     finally:
-        train.unpersist()
-        validation.unpersist()
+        fitted.unpersist()
+        scored_on.unpersist()
     return train.sparkSession.createDataFrame(
         scored, "hyperparameters STRING, rmse DOUBLE"
     ).orderBy("rmse", "hyperparameters")

@@ -9,7 +9,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
-from panelflow.functions.numbers import half_even, one_row
+from panelflow.functions.numbers import half_even, nan_to_null, one_row
 
 
 def validate_features(
@@ -20,11 +20,11 @@ def validate_features(
     A missing column is an error; extra columns are reported.  Rows whose feature is not
     numeric, missing, NaN or infinite are rejected with a reason.
     """
-    missing = [c for c in expected if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required features: {missing}")
-    extra = [c for c in df.columns if c not in expected]
-    numeric = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    kinds = {f.name: isinstance(f.dataType, NumericType) for f in df.schema}
+    if absent := sorted(set(expected) - set(kinds)):
+        raise ValueError(f"Missing columns that the model was fitted on: {', '.join(absent)}")
+    extra = [c for c in kinds if c not in set(expected)]
+    numeric = {c for c, is_number in kinds.items() if is_number}
     reasons = []
     for c in expected:
         if c not in numeric:
@@ -70,11 +70,23 @@ def feature_importance(model: PipelineModel, k: int = 20) -> DataFrame | None:
 def training_metadata(
     cfg: dict, train: DataFrame, test: DataFrame, features: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row describing a training run; counts are subqueries of it."""
+    """One row describing a training run; counts are subqueries of it.
+
+    ``train_samples`` counts the rows that are fitted, those with a target; ``feature_count``
+    the features that the preprocessor keeps: one imputed from the data is dropped if no
+    fitted row has a value.  ``test_samples`` counts the rows of the test part.
+    """
     if features is None:
         wanted = [*cfg["features"]["numeric"], *cfg["features"]["text"]]
         features = [c for c in wanted if c in train.columns]
+    constant = [g for g in ("numeric", "text") if cfg["preprocessing"][g].get("imputer_strategy") == "constant"]
+    always = {c for g in constant for c in cfg["features"][g]}
+    kept = F.lit(len([c for c in features if c in always]))
+    for c in features:
+        if c not in always:
+            kept = kept + (F.count(nan_to_null(F.col(c).cast("double"))) > 0).cast("int")
     rows = F.count(F.lit(1)).alias("n")
+    fitted = one_row(train.filter(F.col(cfg["target"]).isNotNull()), rows, kept.alias("kept"))
     documents = {
         "hyperparameters": cfg["model"].get("hyperparameters", {}),
         "features": cfg["features"],
@@ -87,7 +99,17 @@ def training_metadata(
         F.lit(cfg["model"]["algorithm"]).alias("algorithm"),
         F.lit(cfg["target"]).alias("target"),
         *[F.lit(json.dumps(v, sort_keys=True)).alias(k) for k, v in documents.items()],
-        one_row(train, rows)["n"].alias("train_samples"),
+        fitted["n"].alias("train_samples"),
         one_row(test, rows)["n"].alias("test_samples"),
-        F.lit(len(features)).alias("feature_count"),
+        fitted["kept"].alias("feature_count"),
     )
+
+
+def model_info(metadata: DataFrame, metrics: DataFrame) -> DataFrame:
+    """What a served model reports: version, algorithm, counts and, once evaluated, metrics.
+
+    One row per row of ``metadata``; metrics of its version, or null before an evaluation.
+    """
+    described = metadata.select("model_version", "algorithm", "target", "train_samples", "test_samples", "feature_count")
+    measured = metrics.select("model_version", "rmse", "mae", "r2", "mape", "directional_accuracy")
+    return described.join(measured, "model_version", "left")

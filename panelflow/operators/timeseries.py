@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from panelflow import config
 from panelflow.functions.calendar import month_angle, months_before, year_month
 from panelflow.functions.numbers import one_row
+from panelflow.session import broadcast_if_small, materialize
 
 
 def _by_month(key: str, month: str) -> WindowSpec:
@@ -110,12 +111,13 @@ def join_text_features(df: DataFrame, monthly: DataFrame, month: str = "date") -
     """Same text row for every entity of a month.
 
     ``monthly`` holds one row per ``yyyy-MM`` value, at most 120,000 for all four-digit
-    years, hence the broadcast; a shuffle join would gather all entities of a month.
+    years.  It is written, counted and then broadcast; a shuffle join would gather all
+    entities of a month.
     """
-    text = monthly.select("year_month", *[c for c in monthly.columns if c.startswith("text_")])
+    text = materialize(monthly.select("year_month", *[c for c in monthly.columns if c.startswith("text_")]))
     return (
         df.withColumn("year_month", year_month(month))
-        .join(F.broadcast(text), "year_month", "left")
+        .join(broadcast_if_small(text), "year_month", "left")
         .drop("year_month")
     )
 
@@ -127,12 +129,16 @@ def align_annual(
     month: str = "date",
     lag_years: int = 0,
 ) -> DataFrame:
-    """Repeat a yearly row over its months; ``lag_years=1`` avoids look-ahead."""
+    """Repeat a yearly row over its months; ``lag_years=1`` avoids look-ahead.
+
+    Yearly rows are written and counted; up to ``BROADCAST_ROW_LIMIT`` they are broadcast, so
+    that the panel is not shuffled again.
+    """
     values = [c for c in yearly.columns if c not in (key, month, "year", "country_name")]
-    by_year = yearly.select(key, F.year(month).alias("_year"), *values)
+    by_year = materialize(yearly.select(key, F.year(month).alias("_year"), *values))
     return (
         df.withColumn("_year", F.year(month) - lag_years)
-        .join(by_year, [key, "_year"], "left")
+        .join(broadcast_if_small(by_year), [key, "_year"], "left")
         .drop("_year")
     )
 

@@ -175,21 +175,26 @@ _PREPARED = {
     ),
 )
 def preprocess_features(spark, sf):
-    features = timeseries.build_features(B.panel(spark, sf), monthly_features(spark, sf), yearly(spark, sf))
-    train, test = timeseries.temporal_split(materialize(features))
+    train, test = timeseries.temporal_split(_features(spark, sf))
     return preprocess.preprocess(train, test)
 
 
-def small_config(algorithm: str, **hyperparameters) -> dict:
-    """Fewer and shallower trees than the defaults, for local runs."""
+def _features(spark, sf):
+    """The whole feature table, written first."""
+    return materialize(timeseries.build_features(B.panel(spark, sf), monthly_features(spark, sf), yearly(spark, sf)))
+
+
+def _configured(algorithm: str) -> dict:
+    """The default configuration; a forest is 10 deep, the default forest unbounded."""
     cfg = copy.deepcopy(config.default_config())
     cfg["model"]["algorithm"] = algorithm
-    cfg["model"]["hyperparameters"].update({"n_estimators": 10, "max_depth": 4, **hyperparameters})
+    depths = {"xgboost": 6, "random_forest": 10, "default": models.DEEPEST}
+    cfg["model"]["hyperparameters"]["max_depth"] = depths[algorithm]
     return cfg
 
 
 def _predict(model, test):
-    features = [c for c in config.NUMERIC_FEATURES if c in test.columns]
+    features = [c for c in [*_ALL_NUMERIC, *_TEXT] if c in test.columns]
     return scoring.score_batch(
         model, test, features, ["country_code", "date"], {"model_version": "v1.0.0"}
     )
@@ -197,34 +202,35 @@ def _predict(model, test):
 
 @query("train_random_forest")
 def train_random_forest(spark, sf):
-    train, test = _parts(spark, sf)
-    return _predict(models.train_random_forest(train, small_config("random_forest")), test)
+    train, test = timeseries.temporal_split(_features(spark, sf))
+    return _predict(models.train_random_forest(train, _configured("random_forest")), test)
 
 
 @query("train_gbt")
 def train_gbt(spark, sf):
-    train, test = _parts(spark, sf)
-    return _predict(models.train_gbt(train, small_config("xgboost")), test)
+    train, test = timeseries.temporal_split(_features(spark, sf))
+    return _predict(models.train_gbt(train, _configured("xgboost")), test)
 
 
 @query("train_default")
 def train_default(spark, sf):
-    train, test = _parts(spark, sf)
-    return _predict(models.train_default(train, small_config("linear", max_depth=5)), test)
+    train, test = timeseries.temporal_split(_features(spark, sf))
+    return _predict(models.train_default(train, _configured("default")), test)
+
+
+GRID = [{"max_depth": depth, "n_estimators": trees} for depth in (4, 6, 10) for trees in (100, 200)]
 
 
 @query("search_hyperparameters")
 def search_hyperparameters(spark, sf):
-    train, validation, _ = timeseries.temporal_split3(materialize(numeric_features(spark, sf)))
-    grid = [{"max_depth": 2}, {"max_depth": 4}]
-    return models.search_hyperparameters(train, validation, grid, small_config("random_forest"))
+    train, validation, _ = timeseries.temporal_split3(_features(spark, sf))
+    return models.search_hyperparameters(train, validation, GRID, _configured("random_forest"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    train, _ = _parts(spark, sf)
-    return scoring.feature_importance(models.train_model(train, small_config("random_forest")), 20)
-
+    train, _ = timeseries.temporal_split(_features(spark, sf))
+    return scoring.feature_importance(models.train_model(train, _configured("random_forest")), 20)
 
 
 def linear_model():
@@ -299,18 +305,19 @@ def validate_features_rejected(spark, sf):
     return rejected.select("country_code", "date", "reason")
 
 
-@query(
-    "training_metadata",
-    select(
-        "model_version:s algorithm:s target:s train_samples:i test_samples:i feature_count:i",
-        "SELECT 'v1.0.0' AS model_version, 'xgboost' AS algorithm, 'inflation_rate_t_plus_1' AS target, "
-        "(SELECT count(*) FROM train) AS train_samples, (SELECT count(*) FROM test) AS test_samples, 12 AS feature_count",
-        O.chain(_NUMERIC),
-    ),
+_RUN = (
+    "SELECT 'v1.0.0' AS model_version, 'xgboost' AS algorithm, 'inflation_rate_t_plus_1' AS target, "
+    "(SELECT count(inflation_rate_t_plus_1) FROM train) AS train_samples, (SELECT count(*) FROM test) AS test_samples, "
+    f"(SELECT {len(_TEXT)} + " + " + ".join(f"(count({c}) > 0)::INT" for c in _ALL_NUMERIC)
+    + " FROM train WHERE inflation_rate_t_plus_1 IS NOT NULL) AS feature_count"
 )
+_RUN_COLUMNS = "model_version:s algorithm:s target:s train_samples:i test_samples:i feature_count:i"
+
+
+@query("training_metadata", select(_RUN_COLUMNS, _RUN, O.chain(_PREPARED)))
 def training_metadata(spark, sf):
-    train, test = _parts(spark, sf)
-    row = scoring.training_metadata(config.default_config(), train, test)
+    parts = timeseries.temporal_split(_features(spark, sf))
+    row = scoring.training_metadata(config.default_config(), *parts)
     return row.select("model_version", "algorithm", "target", "train_samples", "test_samples", "feature_count")
 
 
@@ -456,6 +463,20 @@ def metrics_report(spark, sf):
     return evaluation.metrics_report(_predictions(spark, sf), config.default_config(), timestamp=False)
 
 
+@query(
+    "model_info",
+    select(
+        f"{_RUN_COLUMNS} rmse:f mae:f r2:f mape:f directional_accuracy:f",
+        f"SELECT * FROM ({_RUN}), (SELECT rmse, mae, r2, mape FROM ({_aggregates(_EVERYTHING)})), ({_ACCURACY})",
+        O.chain(_PREPARED, _DIRECTION),
+    ),
+)
+def model_info(spark, sf):
+    cfg = config.default_config()
+    metadata = scoring.training_metadata(cfg, *timeseries.temporal_split(_features(spark, sf)))
+    return scoring.model_info(metadata, evaluation.metrics_report(_predictions(spark, sf), cfg, timestamp=False))
+
+
 _BAND = (
     "SELECT country_code, date, predicted, CASE WHEN predicted < 0 THEN 'deflation' WHEN predicted < 3 THEN 'low/moderate' "
     "WHEN predicted < 10 THEN 'high' ELSE 'very high' END AS band FROM predictions"

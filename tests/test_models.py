@@ -185,6 +185,21 @@ def test_metadata_counts(parts):
     row = scoring.training_metadata(config.default_config(), *parts).first()
     assert row["train_samples"] == parts[0].count() and row["test_samples"] == parts[1].count()
     assert '"test_months": 12' in row["split"]
+    cfg = config.default_config()
+    unlabelled = parts[0].limit(1).withColumn(cfg["target"], F.lit(None).cast("double"))
+    more = parts[0].unionByName(unlabelled).withColumn("gdp_growth", F.lit(None).cast("double"))
+    again = scoring.training_metadata(cfg, more, parts[1]).first()
+    assert again["train_samples"] == row["train_samples"]
+    dropped = int("gdp_growth" in parts[0].columns)
+    assert again["feature_count"] == row["feature_count"] - dropped
+
+
+def test_model_info_keeps_runs_without_metrics(spark, parts):
+    metadata = scoring.training_metadata(config.default_config(), *parts)
+    columns = "model_version STRING, rmse DOUBLE, mae DOUBLE, r2 DOUBLE, mape DOUBLE, directional_accuracy DOUBLE"
+    for version, rmse in (("v1.0.0", 1.0), ("other", None)):
+        info = scoring.model_info(metadata, spark.createDataFrame([(version, 1.0, 1.0, 1.0, 1.0, 1.0)], columns)).collect()
+        assert [r["rmse"] for r in info] == [rmse]
 
 
 def predictions(spark, data):

@@ -186,6 +186,16 @@ def test_features_use_one_shuffle_and_no_cross_join(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "SinglePartition" not in text
 
 
+def test_yearly_and_text_rows_do_not_shuffle_the_panel_again(spark):
+    df = months(spark, [("A", 2001, m, float(m)) for m in range(1, 13)])
+    annual = spark.createDataFrame([("A", D(2001, 1, 1), 4.0)], "country_code STRING, date DATE, gdp_growth DOUBLE")
+    text = spark.createDataFrame([("2001-02", 3)], "year_month STRING, text_article_count INT")
+    out = timeseries.build_features(df, text, annual)
+    tree = plan(out).split("\n\n")[0]
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 1 and tree.count("BroadcastExchange") == 2
+    assert out.filter("gdp_growth = 4.0").count() == 12 and out.filter("text_article_count = 3").count() == 1
+
+
 def test_available_features_lists_missing(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "month_cos DOUBLE, inflation_lag_1 DOUBLE")
     selected, missing = timeseries.available_features(df)

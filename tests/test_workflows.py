@@ -1,14 +1,14 @@
 """The four jobs over the given tables, writing to the shared folder."""
 
+import copy
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelflow import workflows
+from panelflow import config, workflows
 from panelflow.operators import timeseries
 from panelflow.plans import bindings as B
-from panelflow.plans.model_queries import small_config
 from panelflow.session import scratch_path
 
 pytestmark = pytest.mark.skipif(
@@ -32,7 +32,9 @@ def test_jobs_end_to_end(spark, sf):
 
     annual = yearly.select("country_code", "date", "gdp_growth", "interest_rate")
     features = timeseries.build_features(B.panel(spark, sf), months, annual)
-    cfg = small_config("random_forest")
+    cfg = copy.deepcopy(config.default_config())
+    cfg["model"]["algorithm"] = "random_forest"
+    cfg["model"]["hyperparameters"].update({"n_estimators": 10, "max_depth": 4})
     model = workflows.train(features, f"{out}/model", cfg)
     assert len(model.stages) == 2
     metrics = workflows.evaluate(spark, f"{out}/model", cfg)
