@@ -35,6 +35,8 @@ PIVOTS, LOOSE = 8, 32
 # Sketches this far below the threshold are not looked at: over four standard deviations.
 MARGIN = 0.15
 SALTS = 64
+# Sets of a dense node that meet its pivots in one run.
+PART_ROWS = 4096
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _rng = np.random.default_rng(20)
@@ -213,18 +215,45 @@ def _confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
-    """Pairs of a dense node's sets and its pivots that are not connected and look alike."""
+    """Pairs of a dense node's sets and its pivots that are not connected and look alike.
+
+    A node is dealt into parts of about ``PART_ROWS`` sets that each get all its pivots, so a
+    set is read once however many pivots there are, and no node lands in one task.
+    """
 
     def run(batches):
+        deal, pivots = None, []
         for batch in batches:
-            if batch.num_rows:
-                s, p = _matrix(batch.column("sketch")), _matrix(batch.column("p_sketch"))
-                near = pa.array((s == p).sum(axis=1) >= floor * COORDINATES)
-                yield batch.select(["key", "comp", "p_key", "p_comp"]).filter(near)
-
-    both = rows.join(broadcast_if_small(pivots, 20_000), "node").filter("comp <> p_comp")
-    both = both.select("key", "comp", "sketch", "p_key", "p_comp", "p_sketch")
-    return both.mapInArrow(run, "key string, comp string, p_key string, p_comp string")
+            if not batch.num_rows:
+                continue
+            deals = batch.column("deal").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(deals[1:] != deals[:-1]) + 1).tolist(), len(deals)]
+            for a, b in zip(cuts, cuts[1:]):
+                if deals[a] != deal:
+                    deal, pivots = deals[a], []
+                here = batch.slice(a, b - a)
+                first = int(here.column("pivot").to_numpy(zero_copy_only=False).sum())  # pivots come first
+                head, rest = here.slice(0, first), here.slice(first)
+                sketches = head.column("sketch").to_pylist()
+                pivots += zip(head.column("key").to_pylist(), head.column("comp").to_pylist(), sketches)
+                if not rest.num_rows:
+                    continue
+                s, comps = _matrix(rest.column("sketch")), rest.column("comp").to_numpy(zero_copy_only=False)
+                for key, comp, sketch in pivots:
+                    alike = (s == np.frombuffer(sketch, "<u4")).sum(axis=1) >= floor * COORDINATES
+                    found = rest.select(["key", "comp"]).filter(pa.array(alike & (comps != comp)))
+                    if n := found.num_rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [*found.columns, pa.array([key] * n), pa.array([comp] * n)], names=["key", "comp", "p_key", "p_comp"]
+                        )
+
+    parts = F.ceil(F.col("all") / PART_ROWS).cast("int")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit("part")), parts).cast("int")).withColumn("pivot", F.lit(False))
+    spread = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("pivot", F.lit(True))
+    columns = [F.concat_ws("/", F.col("node").cast("string"), F.col("part").cast("string")).alias("deal"), "pivot", "key", "comp", "sketch"]
+    both = dealt.select(*columns).unionByName(spread.select(*columns))
+    ordered = both.repartition("deal").sortWithinPartitions("deal", F.desc("pivot"))
+    return ordered.mapInArrow(run, "key string, comp string, p_key string, p_comp string")
 
 
 def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, percent: int) -> DataFrame:
@@ -239,13 +268,12 @@ def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, perc
     sums = parts.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     marked = rows.join(broadcast_if_small(sums), "node")
     loose = F.col("all") - F.col("top.n") <= LOOSE
-    settled = marked.filter(loose & (F.col("comp") != F.col("top.comp"))).select("node", "key", "comp", "sketch")
+    settled = marked.filter(loose & (F.col("comp") != F.col("top.comp"))).select("node", "all", "key", "comp", "sketch")
     order = F.struct(F.xxhash64("key", F.lit(tree)).alias("h"), "key", "comp", "sketch")
-    chosen = marked.filter(~loose).groupBy("node", F.pmod(F.xxhash64("key", F.lit(tree), F.lit("p")), F.lit(PIVOTS)).alias("seat"))
-    drawn = chosen.agg(F.min(order).alias("p")).select("node", F.col("p.key").alias("key"), F.col("p.comp").alias("comp"), F.col("p.sketch").alias("sketch"))
+    chosen = marked.filter(~loose).groupBy("node", "all", F.pmod(F.xxhash64("key", F.lit(tree), F.lit("p")), F.lit(PIVOTS)).alias("seat"))
+    drawn = chosen.agg(F.min(order).alias("p")).select("node", "all", F.col("p.key").alias("key"), F.col("p.comp").alias("comp"), F.col("p.sketch").alias("sketch"))
     pivots = materialize(settled.unionByName(drawn))
-    named = pivots.select("node", *[F.col(c).alias(f"p_{c}") for c in ("key", "comp", "sketch")])
-    pairs = materialize(_near_pivots(rows, named, floor).distinct())
+    pairs = materialize(_near_pivots(marked, pivots, floor).distinct())
     pivot_sets = sets.join(broadcast_if_small(pairs.select(F.col("p_key").alias("key")).distinct()), "key", "left_semi")
     pivot_sets = materialize(pivot_sets.select(F.col("key").alias("p_key"), F.col("items").alias("p_items")))
     own = pairs.join(sets.select("key", "items"), "key").join(broadcast_if_small(pivot_sets, 2_000), "p_key")
