@@ -92,3 +92,19 @@ def test_components(spark):
     edges = [(f"v{i:03}", f"v{i + 1:03}") for i in range(0, 60)] + [("z1", "z2"), ("z2", "z1"), ("q", "q"), ("z3", "z2")]
     got = {r["key"]: r["comp"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == {f"v{i:03}": "v000" for i in range(61)} | {"z1": "z1", "z2": "z1", "z3": "z1"}
+
+
+def test_star_of_over_a_thousand_copies(spark):
+    """Copies that link to their base and hardly to each other, in nodes that never get small."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(400)]
+    docs = [(0, " ".join(base))]
+    for copy in range(1, 1201):
+        words = list(base)
+        for at in rng.sample(range(400), 9):
+            words[at] = f"c{copy}x{at}"
+        docs.append((copy, " ".join(words)))
+    want = brute(docs, 3, 85)
+    assert sum(c == 0 for _, _, c in want) > 1_000
+    rows = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == want
