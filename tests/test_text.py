@@ -48,6 +48,11 @@ def test_native_alone_differs_on_nested_subtrees(spark):
     assert column(text.clean_html(df, mode="native"), "text") == ["k z"]
 
 
+def test_default_is_right_on_irregular_pages(spark):
+    df = texts(spark, [h for h, _ in CLEAN_CASES])
+    assert column(text.clean_html(df).orderBy("id"), "text") == [t for _, t in CLEAN_CASES]
+
+
 def _random_page(rng: random.Random) -> str:
     pieces = [
         "<p>", "</p>", "<b>", "</b>", "<br>", "<br/>", "<!-- c -->", "<script>if(a<b){}</script>",
