@@ -14,7 +14,8 @@ and its payload, little endian,
     checkpoints (words before it u64, states of all lanes u64), words u32.
 
 Lane ``j`` codes tokens ``j, j + lanes, ...``; all lanes draw 32-bit words from one stream in
-lane order.  Decoding may begin at any checkpoint, so a block can be read by several tasks.
+lane order.  Decoding may begin at any checkpoint; ``read_ids`` still reads each block
+whole, and each file in one task.
 """
 
 from __future__ import annotations
