@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelflow.llm.bpe import decode_ids, encode_texts
 from panelflow.llm.decontaminate import find_contamination
 from panelflow.llm.exact_dedup import exact_duplicates, without_spaces
 from panelflow.llm.html_text import extract_main_text
@@ -14,6 +15,7 @@ from panelflow.llm.line_dedup import drop_boilerplate
 from panelflow.llm.lm_score import score_texts
 from panelflow.llm.near_dedup import near_duplicates
 from panelflow.llm.packing import pack_documents
+from panelflow.llm.periodic import find_periodic_runs
 from panelflow.llm.quality import score_quality
 from panelflow.llm.rans import read_digest, tokenized, write_ids
 from panelflow.llm.url_filter import judge_urls
@@ -185,3 +187,38 @@ def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def lm_score(spark: SparkSession, sf: str) -> DataFrame:
     end_of_text = 49407
     return score_texts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_of_text)
+
+
+@query("op11_bpe")
+def bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = encode_texts(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return decode_ids(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tenth document or so is given a period first; that is part of the query, not of the operator."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)")))
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(sequence(0, n - 1), i -> get(words, cast(if(i < a, i, a + (i - a) % p) AS int))), ' ')")
+    found = find_periodic_runs(docs.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -31,7 +31,7 @@ KEPT_PIECES, KEPT_CHARS = 800_000, 40
 SHORT = 8
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter by which a byte-level vocabulary writes each byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     moved = [b for b in range(256) if b not in set(plain)]
@@ -43,7 +43,7 @@ class Pieces(dict):
 
     def __init__(self, tokenizer: Tokenizer, code: str, lead: str, lowers: bool):
         self.tokenizer, self.model, self.code, self.lead, self.lowers = tokenizer, tokenizer.model, code, lead, lowers
-        self.letters, self.older, self.tails = _byte_letters(), {}, {}
+        self.letters, self.older, self.tails = byte_letters(), {}, {}
         self.begin = lead.translate(self.letters)
 
     def _tail(self, marks: str) -> bytes:
