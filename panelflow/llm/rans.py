@@ -35,7 +35,7 @@ from panelflow.session import materialize
 MAGIC = b"RNS1"
 OUTER, INNER = struct.Struct("<4sQI"), struct.Struct("<IQIBIIQII")
 LOW = np.uint64(1 << 31)
-LANES, STEPS, BLOCK_TOKENS = 2048, 256, 1 << 20
+LANES, STEPS, BLOCK_TOKENS = 2048, 64, 1 << 20
 # Bound of a file: blocks are about 1.5 MB.
 BLOCKS_PER_FILE = 16
 
