@@ -19,6 +19,7 @@ from panelflow.llm.periodic import find_periodic_runs
 from panelflow.llm.quality import score_quality
 from panelflow.llm.rans import read_digest, tokenized, write_ids
 from panelflow.llm.url_filter import judge_urls
+from panelflow.llm.whitening import COMPONENTS, whiten
 from panelflow.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +223,9 @@ def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, components=COMPONENTS)
