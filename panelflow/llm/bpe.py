@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterable, Sequence
+from array import array
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -30,11 +31,16 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 # with other characters is cut by the tokenizers library, whose tables may be older or newer.
 SURE = ((0x0000, 0x0557), (0x0900, 0x0C5B), (0x1E00, 0x206F), (0x2100, 0xA7CD), (0xAC00, 0xFFFF), (0x1F000, 0x1FAFF))
 UNSURE = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SURE) + "]")
-NEVER = np.int64(1) << 60
+NO_RANK = 1 << 60
+NEVER = np.int64(NO_RANK)
 # Words remembered per worker (twice as many at most), and the longest that is remembered.
 KEPT_WORDS, KEPT_CHARS = 200_000, 40
+# Ids decoded at once.
+IDS = 500_000
 # Tokens are looked for by their first bytes.
-STEM, SHORTER = 3, (2, 1)
+STEM, SHORTER = 4, (3, 2, 1)
+# Shorter words are merged by looking at all their pairs, longer ones with a heap.
+SCANNED = 48
 
 
 class Vocabulary:
@@ -120,23 +126,38 @@ class Vocabulary:
 
     def propose(self, word: bytes) -> list[int]:
         """The longest token at every place, from the left."""
-        whole = self.ids.get(word)
-        if whole is not None:
-            return [whole]
-        out, at, n, ids, lengths = [], 0, len(word), self.ids, self.lengths
+        ids, lengths = self.ids, self.lengths
+        if word in ids:
+            return [ids[word]]
+        out, at, n = [], 0, len(word)
         while at < n:
             for k in lengths.get(word[at : at + STEM], SHORTER):
-                token = ids.get(word[at : at + k])
-                if token is not None and at + k <= n:
-                    out.append(token)
-                    at += k
+                part = word[at : at + k]
+                if part in ids:
+                    out.append(ids[part])
+                    at += len(part)
                     break
         return out
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging: always the lowest rank, leftmost first; n log n for a word of n bytes."""
+        """Exact merging: always the lowest rank, leftmost first; n log n for a long word of n bytes."""
         tokens = [self.byte_ids[b] for b in word]
         n, merges = len(tokens), self.merges
+        if n <= SCANNED:
+            none = (NO_RANK, -1)
+            found = [merges.get(pair, none) for pair in zip(tokens, tokens[1:])]
+            while found:
+                best = min(found)
+                if best is none:
+                    break
+                i = found.index(best)
+                tokens[i : i + 2] = [best[1]]
+                del found[i]
+                if i:
+                    found[i - 1] = merges.get((tokens[i - 1], best[1]), none)
+                if i < len(found):
+                    found[i] = merges.get((best[1], tokens[i + 1]), none)
+            return tokens
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [(found[0], i, tokens[i], tokens[i + 1]) for i in range(n - 1) if (found := merges.get((tokens[i], tokens[i + 1])))]
         heapq.heapify(waiting)
@@ -176,10 +197,15 @@ class Codec:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.code = np.dtype("<u2") if self.vocabulary.size <= 1 << 16 else np.dtype("<u4")
+        self.letter = "H" if self.vocabulary.size <= 1 << 16 else "I"
+        self.code = np.dtype(self.letter)
         self.lately: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self._library = None
+        tokens = [self.vocabulary.bytes_of.get(i, b"") for i in range(self.vocabulary.size)]
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def _words(self, text: str) -> list[str]:
         if not UNSURE.search(text):
@@ -209,7 +235,7 @@ class Codec:
                 known[word] = ids
         found, _ = self.vocabulary.encode_words([w.encode() for w in new])
         for word, tokens in zip(new, found):
-            known[word] = np.array(tokens, dtype=self.code).tobytes()
+            known[word] = array(self.letter, tokens).tobytes()
         if len(self.lately) >= KEPT_WORDS:
             self.older, self.lately = self.lately, {}
         room = KEPT_WORDS - len(self.lately)
@@ -221,14 +247,15 @@ class Codec:
                 room -= 1
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), self.code) for p in parts]
 
-    def decode(self, ids: Iterable[int | None]) -> str:
-        """The bytes of all ids; ids outside the vocabulary count for nothing, bad UTF-8 becomes U+FFFD."""
-        table = self.vocabulary.bytes_of
-        try:
-            data = b"".join(map(table.__getitem__, ids))
-        except KeyError:
-            data = b"".join(table.get(i, b"") for i in ids)
-        return data.decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """Texts of ``sizes`` ids each; ids outside the vocabulary count for nothing, bad UTF-8 becomes U+FFFD."""
+        known = (ids >= 0) & (ids < self.vocabulary.size)
+        ids = np.where(known, ids, 0).astype(np.int64)
+        lengths = np.where(known, self.lengths[ids], 0)
+        ends = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(lengths)])
+        data = self.bytes[np.repeat(self.starts[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        cuts = ends[np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(sizes)])].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -282,10 +309,14 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     def run(batches):
         tool = codec(path)
         for batch in batches:
-            lists = batch.column(0)
-            flat, ends = lists.flatten().to_pylist(), np.cumsum([0, *(n or 0 for n in pc.list_value_length(lists).to_pylist())])
-            texts = [None if not there else tool.decode(flat[a:b]) for there, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*names, text_col])
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(batch.column(0)), 0)).astype(np.int64)
+            # Rows of about IDS ids at once; a longer row by itself.
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // IDS)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                lists = batch.column(0).slice(a, b - a)
+                texts = tool.decode(np.asarray(pc.fill_null(lists.flatten(), -1)), sizes[a:b])
+                decoded = pa.array(texts, pa.string(), mask=np.asarray(lists.is_null()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[1:]), decoded], names=[*names, text_col])
 
     slim = df.select(F.col(f"`{ids_col}`").alias("_0"), *[F.col(f"`{f.name}`") for f in rest])
     return slim.mapInArrow(run, T.StructType([*rest, T.StructField(text_col, T.StringType())]))
