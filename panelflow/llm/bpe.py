@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from panelflow.llm.tokens import byte_letters, slices
+from panelflow.llm.tokens import byte_letters
 
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # Blocks whose letters, numbers and spaces are the same in every Unicode version in use; a text
@@ -34,9 +34,9 @@ UNSURE = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SURE) + "
 NO_RANK = 1 << 60
 NEVER = np.int64(NO_RANK)
 # Words remembered per worker (twice as many at most), and the longest that is remembered.
-KEPT_WORDS, KEPT_CHARS = 200_000, 40
-# Ids decoded at once.
-IDS = 500_000
+KEPT_WORDS, KEPT_CHARS = 120_000, 40
+# Bytes encoded and ids decoded at once.
+BYTES, IDS = 1_000_000, 300_000
 # Tokens are looked for by their first bytes.
 STEM, SHORTER = 4, (3, 2, 1)
 # Shorter words are merged by looking at all their pairs, longer ones with a heap.
@@ -193,7 +193,7 @@ class Vocabulary:
 
 
 class Codec:
-    """Encodes and decodes whole texts; remembers the words met lately."""
+    """Encodes whole texts; remembers the words met lately."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
@@ -202,10 +202,6 @@ class Codec:
         self.lately: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self._library = None
-        tokens = [self.vocabulary.bytes_of.get(i, b"") for i in range(self.vocabulary.size)]
-        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        self.lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def _words(self, text: str) -> list[str]:
         if not UNSURE.search(text):
@@ -247,9 +243,24 @@ class Codec:
                 room -= 1
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), self.code) for p in parts]
 
+
+class Decoder:
+    """Only what decoding needs: the bytes of all tokens one after another."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        byte_of = {letter: b for b, letter in byte_letters().items()}
+        table = {i: bytes(byte_of[c] for c in word) for word, i in spec["model"]["vocab"].items()}
+        table |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        tokens = [table.get(i, b"") for i in range(max(table) + 1)]
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
         """Texts of ``sizes`` ids each; ids outside the vocabulary count for nothing, bad UTF-8 becomes U+FFFD."""
-        known = (ids >= 0) & (ids < self.vocabulary.size)
+        known = (ids >= 0) & (ids < len(self.lengths))
         ids = np.where(known, ids, 0).astype(np.int64)
         lengths = np.where(known, self.lengths[ids], 0)
         ends = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(lengths)])
@@ -258,6 +269,18 @@ class Codec:
         return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """One per Python worker and file."""
+    return Decoder(path)
+
+
+def row_blocks(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Row ranges of about ``most`` in sum; a larger row stands by itself or ends its range."""
+    cuts = (np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(sizes)]))
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One per Python worker and file."""
@@ -283,13 +306,13 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
     def run(batches):
         tool = codec(path)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for s in slices(texts):
-                ids = tool.encode(texts[s])
+            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(0)), 0)).astype(np.int64)
+            for a, b in row_blocks(sizes, BYTES):
+                ids = tool.encode(batch.column(0).slice(a, b - a).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = np.concatenate(ids) if len(ids) else np.zeros(0, dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
-                columns = [c.slice(s.start, s.stop - s.start) for c in batch.columns[1:]]
+                columns = [c.slice(a, b - a) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays([*columns, lists], names=[*names, ids_col])
 
     text = F.col(f"`{text_col}`").cast("string")
@@ -307,12 +330,10 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     names = [f.name for f in rest]
 
     def run(batches):
-        tool = codec(path)
+        tool = decoder(path)
         for batch in batches:
             sizes = np.asarray(pc.fill_null(pc.list_value_length(batch.column(0)), 0)).astype(np.int64)
-            # Rows of about IDS ids at once; a longer row by itself.
-            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // IDS)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            for a, b in row_blocks(sizes, IDS):
                 lists = batch.column(0).slice(a, b - a)
                 texts = tool.decode(np.asarray(pc.fill_null(lists.flatten(), -1)), sizes[a:b])
                 decoded = pa.array(texts, pa.string(), mask=np.asarray(lists.is_null()))
