@@ -34,7 +34,7 @@ UNSURE = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SURE) + "
 NO_RANK = 1 << 60
 NEVER = np.int64(NO_RANK)
 # Words remembered per worker (twice as many at most), and the longest that is remembered.
-KEPT_WORDS, KEPT_CHARS = 120_000, 40
+KEPT_WORDS, KEPT_CHARS = 160_000, 40
 # Bytes encoded and ids decoded at once.
 BYTES, IDS = 1_000_000, 300_000
 # Tokens are looked for by their first bytes.
