@@ -3,9 +3,9 @@ import string
 
 import pytest
 from helpers import column, plan, rows
+from html_parser import parse_visible_text
 from pyspark.sql import functions as F
 
-from panelflow.functions import html as H
 from panelflow.functions import text as T
 from panelflow.operators import monthly, text, tfidf
 
@@ -36,21 +36,43 @@ CLEAN_CASES = [
 ]
 
 
-@pytest.mark.parametrize("mode", ["auto", "parser"])
+MARKUP_CASES = [
+    ("<div><b></div><nav>m</b>n</nav>x", "x"),
+    ("<b><div><nav>m</b>n</nav>x", "n x"),
+    ("<form><p><form>a</p>b</form>c</form>d", "c d"),
+    ("<ul><li>a<li>b</ul>c</li>d", "a b c d"),
+    ("<p title='<nav>'>a</p><p title=\"</p>\">b</p>", "a b"),
+    ("<a href=x/>a</a><nav/>b<br/>c", "a b c"),
+    ("<NAV>m</Nav >x<SCRIPT>y</script\n>z", "x z"),
+    ("&eacute;&#233;&#xE9;&#150;&#x110000;&#xD800;&#0065;&nosuch;&copy", "ééé–\ufffd\ufffdA&nosuch©"),
+    ("a<![CDATA[<nav>b]]>c<![if x]>d", "a <nav>b c d"),
+    ("a<script>x</nav>", "a"),
+    ("a<!-- b > c", "a<!-- b > c"),
+    ("<p \"q>x", "x"),
+    ("a<nav>b\ufdd0</nav>\ufdd1\x01\x02c", "a \ufffd\x01\x02c"),
+    ("<template><nav>a</template>b</nav>c", "b c"),
+]
+
+
+@pytest.mark.parametrize("mode", ["scan", "auto"])
 def test_clean_html_golden(spark, mode):
-    df = texts(spark, [h for h, _ in CLEAN_CASES])
+    cases = CLEAN_CASES + MARKUP_CASES
+    df = texts(spark, [h for h, _ in cases] + [None])
     got = column(text.clean_html(df, mode=mode).orderBy("id"), "text")
-    assert got == [t for _, t in CLEAN_CASES]
+    assert got == [t for _, t in cases] + [None]
 
 
 def test_native_alone_differs_on_nested_subtrees(spark):
     df = texts(spark, ["<nav>n<nav>m</nav>k</nav>z"])
     assert column(text.clean_html(df, mode="native"), "text") == ["k z"]
+    assert column(text.clean_html(df), "text") == ["z"]
+    with pytest.raises(ValueError, match="unknown mode"):
+        text.clean_html(df, mode="parser")
 
 
-def test_default_is_right_on_irregular_pages(spark):
-    df = texts(spark, [h for h, _ in CLEAN_CASES])
-    assert column(text.clean_html(df).orderBy("id"), "text") == [t for _, t in CLEAN_CASES]
+def test_no_python_worker_and_no_shuffle_for_markup(spark):
+    shown = plan(text.clean_html(texts(spark, ["x"]).filter("id < 9")))
+    assert not any(node in shown for node in ("EvalPython", "InArrow", "InPandas", "Exchange"))
 
 
 def _random_page(rng: random.Random) -> str:
@@ -64,21 +86,22 @@ def _random_page(rng: random.Random) -> str:
     return "".join(rng.choice(pieces + words) for _ in range(rng.randrange(1, 40)))
 
 
-def test_auto_equals_parser_on_random_pages(spark):
+@pytest.mark.parametrize("mode", ["scan", "auto"])
+def test_random_pages_against_a_parser(spark, mode):
     rng = random.Random(7)
     pages = [_random_page(rng) for _ in range(3000)]
     df = texts(spark, pages).repartition(8)
-    auto = text.clean_html(df, mode="auto").withColumnRenamed("text", "auto")
-    both = text.clean_html(auto, mode="parser")
-    assert rows(both.filter("auto <> text").select("html", "auto", "text").limit(5)) == []
-    staged = df.withColumn("l", H.without_scripts(F.col("html")))
-    staged = staged.withColumn("s", H.without_subtrees(F.col("l")))
-    staged = staged.withColumn("u", H.without_tags(F.col("s")))
-    irregular = H.is_irregular(*[F.col(c) for c in ("html", "l", "s", "u")])
-    assert staged.filter(~irregular).count() > 200
+    got = {r["html"]: r["text"] for r in text.clean_html(df, mode=mode).collect()}
+    assert [(p, got[p], parse_visible_text(p)) for p in pages if got[p] != parse_visible_text(p)] == []
+
+
+def test_given_pages_against_a_parser(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("html")
+    for r in text.clean_html(pages).collect():
+        assert r["text"] == parse_visible_text(r["html"])
 
 
-@pytest.mark.parametrize("mode", ["auto", "parser"])
+@pytest.mark.parametrize("mode", ["scan", "auto"])
 def test_html_is_linear_on_hostile_pages(spark, mode):
     pages = [
         "<nav>" * 50_000,
@@ -89,9 +112,14 @@ def test_html_is_linear_on_hostile_pages(spark, mode):
         "<script>" + "x<" * 500_000 + "</script>done",
         "\t" * 100_000 + "x",
         "<p " + 'a="b" ' * 20_000 + ">y</p>",
+        "<![CDATA[" * 30_000 + ">z",
+        "<div>" * 10_000 + "</div>" * 10_000 + "<nav><nav></nav></nav>x",
+        "<nav></nav>a&eacute;" * 2_000,
+        "<b 'x" * 30_000 + ">w",
     ]
     got = column(text.clean_html(texts(spark, pages), mode=mode).orderBy("id"), "text")
-    assert got[5] == "done" and got[6] == "x" and got[7] == "y"
+    assert got[5] == "done" and got[6] == "x" and got[7] == "y" and got[8] == "z" and got[9] == "x"
+    assert got[10] == " ".join(["aé"] * 2_000) and got[11] == "w"
 
 
 NORMALIZE_CASES = [
