@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from panelflow import config
 from panelflow.functions.calendar import month_angle, months_before, year_month
 from panelflow.functions.numbers import one_row
-from panelflow.session import broadcast_if_small, materialize
 
 
 def _by_month(key: str, month: str) -> WindowSpec:
@@ -110,16 +109,15 @@ def add_target(
 def join_text_features(df: DataFrame, monthly: DataFrame, month: str = "date") -> DataFrame:
     """Same text row for every entity of a month.
 
-    ``monthly`` holds one row per ``yyyy-MM`` value, at most 120,000 for all four-digit
-    years.  It is written, counted and then broadcast; a shuffle join would gather all
-    entities of a month.
+    ``monthly`` has one row per ``yyyy-MM`` value, as ``monthly_text_features`` makes it; of several rows the
+    greatest counts, and other values match no month.  That leaves at most 120,000 rows for all
+    four-digit years, so they are broadcast and entities are not gathered by month.
     """
-    text = materialize(monthly.select("year_month", *[c for c in monthly.columns if c.startswith("text_")]))
-    return (
-        df.withColumn("year_month", year_month(month))
-        .join(broadcast_if_small(text), "year_month", "left")
-        .drop("year_month")
-    )
+    columns = [c for c in monthly.columns if c.startswith("text_")]
+    months = monthly.filter(F.col("year_month").rlike(r"^\d{4}-(0[1-9]|1[0-2])$"))
+    rows = months.groupBy("year_month").agg(F.max(F.struct(F.lit(0).alias("_"), *columns)).alias("_row"))
+    text = rows.select(F.col("year_month").alias("_month"), *[F.col("_row")[c].alias(c) for c in columns])
+    return df.join(F.broadcast(text), year_month(month) == F.col("_month"), "left").drop("_month")
 
 
 def align_annual(
@@ -131,15 +129,19 @@ def align_annual(
 ) -> DataFrame:
     """Repeat a yearly row over its months; ``lag_years=1`` avoids look-ahead.
 
-    Yearly rows are written and counted; up to ``BROADCAST_ROW_LIMIT`` they are broadcast, so
-    that the panel is not shuffled again.
+    The years of an entity are gathered into one row and meet its months by entity, so a panel
+    that is dealt by entity already (a spine, its windows) is not shuffled again.  Several rows of one
+    year multiply the months, as in any join; a month without its year stays with nulls.
     """
     values = [c for c in yearly.columns if c not in (key, month, "year", "country_name")]
-    by_year = materialize(yearly.select(key, F.year(month).alias("_year"), *values))
+    row = F.struct(F.year(month).alias("_year"), *values)
+    years = yearly.groupBy(key).agg(F.collect_list(row).alias("_years"))
+    kept = [c for c in df.columns if c not in values or c == key]
+    fitting = F.filter("_years", lambda r: r["_year"] == F.year(month) - lag_years)
     return (
-        df.withColumn("_year", F.year(month) - lag_years)
-        .join(broadcast_if_small(by_year), [key, "_year"], "left")
-        .drop("_year")
+        df.join(years, key, "left")
+        .select(*kept, F.explode_outer(fitting).alias("_row"))
+        .select(*kept, *[F.col("_row")[c].alias(c) for c in values])
     )
 
 

@@ -186,16 +186,56 @@ def test_features_use_one_shuffle_and_no_cross_join(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "SinglePartition" not in text
 
 
-def test_yearly_and_text_rows_do_not_shuffle_the_panel_again(spark):
+def feature_inputs(spark):
     df = months(spark, [("A", 2001, m, float(m)) for m in range(1, 13)])
     annual = spark.createDataFrame([("A", D(2001, 1, 1), 4.0)], "country_code STRING, date DATE, gdp_growth DOUBLE")
     text = spark.createDataFrame([("2001-02", 3)], "year_month STRING, text_article_count INT")
-    out = timeseries.build_features(df, text, annual)
-    tree = plan(out).split("\n\n")[0]
-    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 1 and tree.count("BroadcastExchange") == 2
+    return df, text, annual
+
+
+def test_yearly_and_text_rows_do_not_shuffle_the_panel_again(spark):
+    out = timeseries.build_features(*feature_inputs(spark))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(timeseries.build_features(*feature_inputs(spark))).split("\n\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The panel and the yearly rows by entity, and the few months.
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 3 and tree.count("BroadcastExchange") == 1
+    panel_side = tree[tree.index("Window") :]
+    assert panel_side[: panel_side.index("Sort")].count("Exchange") == 0
     assert out.filter("gdp_growth = 4.0").count() == 12 and out.filter("text_article_count = 3").count() == 1
 
 
+def test_building_features_starts_no_job(spark):
+    inputs = feature_inputs(spark)
+    spark.sparkContext.setJobGroup("planning", "build_features")
+    try:
+        out = timeseries.build_features(*inputs)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+        assert out.count() == 12
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") != []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_alignment_of_odd_rows(spark):
+    schema = "country_code STRING, date DATE, gdp_growth DOUBLE"
+    yearly = spark.createDataFrame([("A", D(2001, 1, 1), 4.0), ("A", D(2001, 5, 1), 5.0), (None, D(2001, 1, 1), 6.0), ("A", None, 7.0)], schema)
+    df = spark.createDataFrame([("A", D(2001, 3, 1), 9.0), ("A", None, 9.0), (None, D(2001, 3, 1), 9.0), ("B", D(2001, 3, 1), 9.0)], schema)
+    got = sorted(rows(timeseries.align_annual(df, yearly)), key=str)
+    assert got == [("A", None, None), ("A", D(2001, 3, 1), 4.0), ("A", D(2001, 3, 1), 5.0), ("B", D(2001, 3, 1), None), (None, D(2001, 3, 1), None)]
+    assert timeseries.align_annual(df, yearly.limit(0)).filter("gdp_growth IS NULL").count() == 4
+    assert timeseries.align_annual(df.limit(0), yearly).count() == 0
+
+
+def test_text_rows_of_one_month_and_of_no_month(spark):
+    df = months(spark, [("A", 2001, 1, 0.0), ("B", 2001, 1, 0.0), ("A", 2001, 2, 0.0)])
+    text = spark.createDataFrame([("2001-01", 1), ("2001-01", 2), ("2001-13", 8), (None, 9)], "year_month STRING, text_n INT")
+    out = timeseries.join_text_features(df, text)
+    assert sorted(rows(out.select("country_code", F.month("date"), "text_n")), key=str) == [("A", 1, 2), ("A", 2, None), ("B", 1, 2)]
+
+
 def test_available_features_lists_missing(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "month_cos DOUBLE, inflation_lag_1 DOUBLE")
     selected, missing = timeseries.available_features(df)
