@@ -64,7 +64,7 @@ def _parts(html: str) -> str:
     page = _let("p", page, _behind("p", "-->", "<!--", "&lt;!--"))
     page = _let("p", page, _behind("p", "]]>", "<![CDATA[", "<![cdata["))
     page = _let("p", page, _behind("p", ">", "<", "&lt;"))
-    return f"split(regexp_replace({page}, {_text('(?s)' + TOKEN)}, {_text(CUT + groups + CUT)}), {_text(CUT)})"
+    return f"split(regexp_replace({page}, {_text('(?s)(?=[<&])(?:' + TOKEN + ')')}, {_text(CUT + groups + CUT)}), {_text(CUT)})"
 
 
 # Fields of a token ``f``.

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Share of the rows on either side of a quantile that is looked at in detail, and the
-# accuracy of the sketch that places it (its rank error is 1 / SKETCH_ACCURACY).
-MARGIN = 0.0005
-SKETCH_ACCURACY = 10_000
+# Bits of a value's key that one round tells apart, and the rounds that all 64 bits take.
+BITS = 16
+ROUNDS = 64 // BITS
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -20,65 +19,66 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter("value IS NOT NULL AND NOT isnan(value)")
 
 
+def with_ordered_key(df: DataFrame, value: str = "value", out: str = "key") -> DataFrame:
+    """``df`` with a long that orders as the double ``value`` does: exponent, then mantissa; both zeros are 0.
+
+    The exponent is put right where the logarithm was rounded over a power of two; powers of two
+    and quotients by them are exact.  Below the normal doubles the mantissa alone counts.
+    """
+    size, least = f"abs({value})", 2.0**-1022
+    near = F.expr(f"cast(least(floor(log2({size})), 1023) AS int)")
+    exponent = F.expr(f"_near - if(pow(2.0D, _near) > {size}, 1, 0) + if(_near < 1023 AND pow(2.0D, _near + 1) <= {size}, 1, 0)")
+    key = F.expr(
+        f"CASE WHEN {size} = double('Infinity') THEN {2**63 - 1}L WHEN {size} < {least!r}D THEN cast({size} / {2.0**-1074!r}D AS bigint) "
+        f"ELSE (_exponent + 1023) * {2**52}L + cast(({size} / pow(2.0D, _exponent) - 1) * {2**52}D AS bigint) END * if({value} < 0, -1L, 1L)"
+    )
+    return df.withColumn("_near", near).withColumn("_exponent", exponent).withColumn(out, key).drop("_near", "_exponent")
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(feature, quantiles ARRAY<DOUBLE>)`` with linear interpolation between ranks.
 
-    A mergeable sketch cuts each feature into slices, narrow ones around the wanted
-    quantiles and wide ones between.  Rows per slice are counted (a few rows per task
-    are shuffled), which tells the slice of every wanted rank, and only the values of
-    those slices are counted, shuffled and ordered.  The cuts steer the work; the result
-    does not depend on their accuracy.
+    Repeated selection on the values' 64-bit keys.  Each round counts the rows by the next 16
+    bits among rows that share the bits of a wanted rank so far (a few counts per task are
+    shuffled), which gives the next bits of every wanted rank; after four rounds a single value is
+    left per rank.  Values are never ordered or gathered: whatever they are, no task orders more
+    than ``2 ** BITS`` counts per feature and rank.
     """
-    values = long_values(df, cols)
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
-    cuts = values.groupBy("feature").agg(
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), F.lit(SKETCH_ACCURACY)).alias("cuts")
-    )
-    place = sum(
-        (F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(edges))), F.lit(0)
-    )
-    # ``cuts`` has one row per configured column.
-    sliced = values.join(F.broadcast(cuts), "feature").select("feature", "value", place.alias("slice"))
-    ordered = Window.partitionBy("feature").orderBy("slice")
-    ranks = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), ((F.col("total") - 1) * F.lit(float(p))).alias("at"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    # At most len(cols) * (len(edges) + 1) rows from here to ``wanted``.
-    wanted = (
-        sliced.groupBy("feature", "slice")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("before", F.sum("rows").over(ordered) - F.col("rows"))
-        .withColumn("total", F.sum("rows").over(Window.partitionBy("feature")))
-        .withColumn(
-            "ranks",
-            F.filter(
-                ranks,
-                lambda r: (F.floor(r["at"]) < F.col("before") + F.col("rows"))
-                & (F.ceil(r["at"]) >= F.col("before")),
-            ),
-        )
-        .filter(F.size("ranks") > 0)
-        .select("feature", "slice", "before", "ranks")
-    )
-    # A value that fills many rows is reduced per task before it is shuffled.
-    inside = Window.partitionBy("feature", "slice").orderBy("value")
-    placed = (
-        sliced.join(F.broadcast(wanted), ["feature", "slice"])
-        .groupBy("feature", "slice", "before", "ranks", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("end", F.col("before") + F.sum("n").over(inside))
-        .withColumn("start", F.col("end") - F.col("n"))
-        .select("feature", "value", "start", "end", F.inline("ranks").alias("i", "at"))
-    )
+    keyed = with_ordered_key(long_values(df, cols))
+    digits = [F.shiftright("key", 64 - BITS * (r + 1)).alias(f"k{r}") for r in range(ROUNDS)]
+    values = keyed.select("feature", "value", *digits)
+    ranks = [
+        F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), ((F.col("total") - 1) * F.lit(float(p))).alias("at"))
+        for i, p in enumerate(probs)
+        for side in (0, 1)
+    ]
+    for r in range(ROUNDS):
+        digit = f"k{r}"
+        if r == 0:
+            shared, inside = ["feature"], values
+        else:
+            # One row per prefix that holds a wanted rank: at most len(cols) * 2 * len(probs).
+            shared = ["feature", f"k{r - 1}", "ranks"]
+            inside = values.join(F.broadcast(wanted), shared[:2])
+        counts = inside.groupBy(*shared, digit).agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+        places = counts.withColumn("end", F.sum("n").over(Window.partitionBy(*shared).orderBy(digit)))
+        if r == 0:
+            places = places.withColumn("total", F.sum("n").over(Window.partitionBy("feature")))
+            rank = F.when(F.col("side") == 0, F.floor("at")).otherwise(F.ceil("at"))
+            rows = places.select("*", F.inline(F.array(*ranks))).withColumn("rank", rank)
+        else:
+            rows = places.select("*", F.inline("ranks"))
+        # From here on ranks count from the first row of the digit they fall into.
+        begin = F.col("end") - F.col("n")
+        placed = rows.filter((F.col("rank") >= begin) & (F.col("rank") < F.col("end"))).withColumn("rank", F.col("rank") - begin)
+        wanted = placed.groupBy("feature", digit).agg(F.sort_array(F.collect_list(F.struct("i", "side", "at", "rank"))).alias("ranks"))
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), F.col("value")))
+    def value_at(side: int) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col("value")))
 
-    low, high = value_at(F.floor("at")), value_at(F.ceil("at"))
-    quantile = low + (high - low) * F.max(F.col("at") - F.floor("at"))
+    low, high = value_at(0), value_at(1)
+    # Equal neighbours may be infinite.
+    quantile = F.when(low == high, low).otherwise(low + (high - low) * F.max(F.col("at") - F.floor("at")))
     return (
         placed.groupBy("feature", "i")
         .agg(quantile.alias("q"))

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -40,9 +41,64 @@ def test_exact_quantiles_on_many_columns_with_a_hot_value(spark):
         assert np.allclose(got[c], np.quantile([r[i] for r in data], [0.25, 0.5, 0.75]))
 
 
-def test_quantiles_never_gather_a_column(spark):
-    text = plan(quantiles.exact_quantiles(frame(spark, [1.0, 2.0]), ["x"], [0.5]))
-    assert "percentile(" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.0, 1.0 - 2**-53, 1.0 + 2**-52, 2.0, 3.0, 1.7976931348623157e308, float("inf"), float("-inf")]
+
+
+def test_keys_order_as_their_values(spark):
+    rng = random.Random(3)
+    values = [v for e in range(-1070, 1024, 7) for v in (2.0**e, float(np.nextafter(2.0**e, 0)), -(2.0**e), float(np.nextafter(2.0**e, np.inf)))]
+    values += EDGES + [struct.unpack("d", rng.randbytes(8))[0] for _ in range(5000)]
+    values = [v for v in values if v == v]
+    got = quantiles.with_ordered_key(frame(spark, values), "x").collect()
+    ordered = sorted(got, key=lambda r: r["x"])
+    for a, b in zip(ordered, ordered[1:]):
+        assert (a["key"] < b["key"]) if a["x"] < b["x"] else a["key"] == b["key"]
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        (EDGES[:-2] * 3, None),
+        ([INF] * 3 + [1.0, -INF], [-INF, INF, INF]),
+        ([1e-300, 1e300, 1.0], None),
+        ([-1.5] * 9 + [-1.5 + 1e-12], None),
+    ],
+)
+def test_exact_quantiles_of_extreme_values(spark, values, expected):
+    got = quantiles.exact_quantiles(frame(spark, values), ["x"], [0.0, 0.5, 1.0]).first()["quantiles"]
+    assert got == (expected or np.quantile(values, [0.0, 0.5, 1.0]).tolist())
+
+
+def test_no_task_orders_a_slice_of_many_values(spark):
+    # A million different values that share sign, exponent and the first bits of the mantissa.
+    df = spark.range(1_000_000).select((F.lit(1.0) + F.col("id") * 2.0**-40).alias("x"))
+    out = quantiles.exact_quantiles(df, ["x"], [0.25, 0.5, 0.75])
+    assert out.first()["quantiles"] == [1.0 + (999_999 * p) * 2.0**-40 for p in (0.25, 0.5, 0.75)]
+    tree = plan(out).split("\n\n")[0]
+    assert tree.count("Window") > 0
+    most = 0
+    values = quantiles.with_ordered_key(quantiles.long_values(df, ["x"]))
+    for r in range(quantiles.ROUNDS):
+        shift = 64 - quantiles.BITS * (r + 1)
+        digits = values.select(F.shiftright("key", shift).alias("k")).distinct()
+        per_prefix = digits.groupBy(F.shiftright("k", quantiles.BITS)).count() if r else digits.groupBy().count()
+        most = max(most, per_prefix.agg(F.max("count")).first()[0])
+    assert most <= 2**quantiles.BITS
+
+
+def test_quantiles_never_gather_or_sort_a_column(spark):
+    out = quantiles.exact_quantiles(frame(spark, [1.0, 2.0]), ["x"], [0.5])
+    text = plan(out)
+    assert "percentile(" not in text and "CartesianProduct" not in text and "NestedLoop" not in text and "SortAggregate" not in text
+    spark.sparkContext.setJobGroup("lazy", "quantiles")
+    try:
+        quantiles.exact_quantiles(frame(spark, [1.0, 2.0]), ["x"], [0.5])
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("lazy") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize(
