@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Bits of a value's key that one round tells apart, and the rounds that all 64 bits take.
-BITS = 16
-ROUNDS = 64 // BITS
+# Bits of a value's 64-bit key that each round tells apart.  A round orders at most 2 ** bits counts per
+# feature and rank in one task; more rounds would order fewer and read the values more often.
+ROUND_BITS = (22, 21, 21)
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -38,21 +38,21 @@ def with_ordered_key(df: DataFrame, value: str = "value", out: str = "key") -> D
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(feature, quantiles ARRAY<DOUBLE>)`` with linear interpolation between ranks.
 
-    Repeated selection on the values' 64-bit keys.  Each round counts the rows by the next 16
-    bits among rows that share the bits of a wanted rank so far (a few counts per task are
-    shuffled), which gives the next bits of every wanted rank; after four rounds a single value is
-    left per rank.  Values are never ordered or gathered: whatever they are, no task orders more
-    than ``2 ** BITS`` counts per feature and rank.
+    Repeated selection on the values' 64-bit keys.  Each round counts the rows by the next
+    bits among rows that share the bits of a wanted rank so far (counts per task are
+    shuffled), which gives the next bits of every wanted rank; after the last round a single value is
+    left per rank.  Values are never ordered or gathered: however many there are, no task orders
+    more counts than ``ROUND_BITS`` allow.
     """
     keyed = with_ordered_key(long_values(df, cols))
-    digits = [F.shiftright("key", 64 - BITS * (r + 1)).alias(f"k{r}") for r in range(ROUNDS)]
+    digits = [F.shiftright("key", 64 - sum(ROUND_BITS[: r + 1])).alias(f"k{r}") for r in range(len(ROUND_BITS))]
     values = keyed.select("feature", "value", *digits)
     ranks = [
         F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), ((F.col("total") - 1) * F.lit(float(p))).alias("at"))
         for i, p in enumerate(probs)
         for side in (0, 1)
     ]
-    for r in range(ROUNDS):
+    for r in range(len(ROUND_BITS)):
         digit = f"k{r}"
         if r == 0:
             shared, inside = ["feature"], values
@@ -71,7 +71,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         # From here on ranks count from the first row of the digit they fall into.
         begin = F.col("end") - F.col("n")
         placed = rows.filter((F.col("rank") >= begin) & (F.col("rank") < F.col("end"))).withColumn("rank", F.col("rank") - begin)
-        wanted = placed.groupBy("feature", digit).agg(F.sort_array(F.collect_list(F.struct("i", "side", "at", "rank"))).alias("ranks"))
+        # Grouped by the prefix as well, rows stay where the counts put them.
+        found = placed.groupBy(*shared, digit).agg(F.sort_array(F.collect_list(F.struct("i", "side", "at", "rank"))).alias("_ranks"))
+        wanted = found.select("feature", digit, F.col("_ranks").alias("ranks"))
 
     def value_at(side: int) -> Column:
         return F.max(F.when(F.col("side") == side, F.col("value")))

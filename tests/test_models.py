@@ -79,14 +79,22 @@ def test_no_task_orders_a_slice_of_many_values(spark):
     assert out.first()["quantiles"] == [1.0 + (999_999 * p) * 2.0**-40 for p in (0.25, 0.5, 0.75)]
     tree = plan(out).split("\n\n")[0]
     assert tree.count("Window") > 0
-    most = 0
     values = quantiles.with_ordered_key(quantiles.long_values(df, ["x"]))
-    for r in range(quantiles.ROUNDS):
-        shift = 64 - quantiles.BITS * (r + 1)
-        digits = values.select(F.shiftright("key", shift).alias("k")).distinct()
-        per_prefix = digits.groupBy(F.shiftright("k", quantiles.BITS)).count() if r else digits.groupBy().count()
-        most = max(most, per_prefix.agg(F.max("count")).first()[0])
-    assert most <= 2**quantiles.BITS
+    done = 0
+    for bits in quantiles.ROUND_BITS:
+        digits = values.select(F.shiftright("key", 64 - done - bits).alias("k")).distinct()
+        per_prefix = digits.groupBy(F.shiftright("k", bits) if done else F.lit("all")).count()
+        assert per_prefix.agg(F.max("count")).first()[0] <= 2**bits
+        done += bits
+    assert done == 64
+
+
+@pytest.mark.parametrize("bits", [(16,) * 4, (1, 63), (40, 24)])
+def test_rounds_do_not_change_quantiles(spark, monkeypatch, bits):
+    monkeypatch.setattr(quantiles, "ROUND_BITS", bits)
+    values = [random.Random(1).gauss(0, 1) * 10.0**k for k in range(-20, 20)] * 3
+    got = quantiles.exact_quantiles(frame(spark, values), ["x"], [0.1, 0.5]).first()["quantiles"]
+    assert np.allclose(got, np.quantile(values, [0.1, 0.5]), rtol=1e-14)
 
 
 def test_quantiles_never_gather_or_sort_a_column(spark):
