@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -10,10 +12,14 @@ from panelflow import config
 from panelflow.functions.lookup import looked_up, lookup_table
 from panelflow.functions.numbers import one_row
 from panelflow.functions.text import adjacent_pairs
-from panelflow.session import broadcast_if_small, materialize, numbered
+from panelflow.session import materialize, numbered
 
-# Up to this many words may stand in a plan as literals (looked up as a hash set).
+# Up to this many terms may stand in a plan as literals (looked up as a hash set).
 LITERAL_WORDS = 5_000
+# Bits of the filter that tells words which may be frequent, 512 KB whatever it holds, and bits per word.
+FILTER_BITS, FILTER_HASHES = 1 << 22, 3
+# Terms of a long vocabulary that are looked up in every task, the most widespread ones; others are joined.
+HOT_TERMS, HOT_CHARS = 50_000, 200
 
 
 def document_words(text: Column) -> Column:
@@ -38,21 +44,10 @@ def _with_sorted_terms(
     text: str,
     ngram: tuple[int, int],
     only_terms: Sequence[str] | None = None,
-    only_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Adds ``_s``, the sorted terms of each document, repeats included.
-
-    ``only_terms`` keeps listed terms; ``only_words`` keeps terms all of whose words are
-    listed.
-    """
+    """Adds ``_s``, the sorted terms of each document, repeats included; ``only_terms`` keeps listed ones."""
     df = docs.withColumn("_words", document_words(F.col(text)))
-    if only_words is not None:
-        # An unlisted word becomes NULL but stays in place, so neighbours stay neighbours.
-        listed = F.transform("_words", lambda w: F.when(w.isin(list(only_words)), w))
-        df = df.withColumn("_words", listed)
     terms = document_terms(F.col("_words"), ngram)
-    if only_words is not None:
-        terms = F.filter(terms, lambda t: t.isNotNull())
     if only_terms is not None:
         terms = F.filter(terms, lambda t: t.isin(list(only_terms)))
     return df.withColumn("_s", F.sort_array(terms)).drop("_words")
@@ -100,20 +95,52 @@ def term_frequencies(
     return counted.select(key, F.inline("_runs"))
 
 
+def _places(word: Column) -> list[Column]:
+    """The bits of a word."""
+    return [F.pmod(F.xxhash64(F.lit(k), word), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES)]
+
+
+def _word_filter(words: DataFrame) -> Column:
+    """A Bloom filter over column ``term``: one array of longs, a subquery of the plan that uses it.
+
+    Its size does not depend on the words; with more of them more others pass.
+    """
+    place = F.col("place")
+    found = words.select(F.explode(F.array(*_places(F.col("term")))).alias("place"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    longs = found.groupBy(F.floor(place / 64).alias("slot")).agg(F.bit_or(one).alias("bits"))
+    slots = words.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "slot").join(longs, "slot", "left")
+    dense = F.sort_array(F.collect_list(F.struct("slot", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return slots.agg(dense.alias("all")).select(F.col("all.bits")).scalar()
+
+
+def _may_hold(bits: Column, word: Column) -> Column:
+    """False only for words that are not in the filter."""
+    tests = [F.getbit(F.get(bits, F.floor(p / 64).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1 for p in _places(word)]
+    return reduce(and_, tests)
+
+
 def term_totals(
     docs: DataFrame,
     text: str = "clean_text",
     ngram: tuple[int, int] = (1, 2),
-    only_words: Sequence[str] | None = None,
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
     """``(term, df, total)``; counts are combined per task before the shuffle by term.
 
-    In sorted order a term differs from the one before it once per document.
+    In sorted order a term differs from the one before it once per document.  Of pairs, only those of two
+    words in ``frequent`` (column ``term``) need be right; a few others are counted too.
     """
-    return (
-        _with_sorted_terms(docs.select(text), text, ngram, only_words=only_words)
+    terms = (
+        _with_sorted_terms(docs.select(text), text, ngram)
         .select(F.inline(F.arrays_zip(F.col("_s"), _shifted())).alias("term", "before"))
         .filter(F.col("term").isNotNull())
+    )
+    if frequent is not None:
+        bits = _word_filter(frequent)
+        terms = terms.filter(_may_hold(bits, F.substring_index("term", " ", 1)) & _may_hold(bits, F.substring_index("term", " ", -1)))
+    return (
+        terms
         .groupBy("term")
         .agg(
             F.count_if(F.col("term") != F.col("before")).alias("df"),
@@ -140,8 +167,9 @@ def tfidf_vocabulary(
 
     With pairs, single words are counted first.  A pair is no more frequent than either
     of its words, so once ``max_features`` words qualify, only pairs of words that reach
-    the last one's total can enter the vocabulary: far fewer rows than all pairs.  Where
-    the list of such words is long, all pairs are counted.
+    the last one's total can enter the vocabulary: far fewer rows than all pairs.  Those words are
+    told by a filter of fixed size that knows all of them and few others, and the pairs that
+    pass are counted exactly.  No word comes to the driver.
     """
     documents = one_row(docs, F.count(F.lit(1)).alias("n"))["n"]
     qualifies = (F.col("df") >= min_df) & (F.col("df") <= documents * F.lit(max_df))
@@ -152,9 +180,7 @@ def tfidf_vocabulary(
             F.when(F.count(F.lit(1)) == max_features, F.min("total")).alias("reach")
         )
         frequent = words.filter(F.col("total") >= F.coalesce(reach.scalar(), F.lit(0)))
-        listed = [r["term"] for r in frequent.select("term").limit(LITERAL_WORDS + 1).collect()]
-        only_words = listed if len(listed) <= LITERAL_WORDS else None
-        pairs = term_totals(docs, text, (2, 2), only_words)
+        pairs = term_totals(docs, text, (2, 2), frequent)
         totals = words.unionByName(pairs)
     else:
         totals = term_totals(docs, text, ngram)
@@ -209,10 +235,19 @@ def _with_weights(
 def _joined_weights(
     docs: DataFrame, vocabulary: DataFrame, key: str, text: str, ngram: tuple[int, int]
 ) -> DataFrame:
-    """``(key, term, tf, w)`` for vocabularies too long to stand in a plan."""
-    lookup = broadcast_if_small(vocabulary.select("term", "idf"))
-    frequencies = term_frequencies(docs, key, text, ngram).join(lookup, "term")
-    return frequencies.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    """``(key, term, tf, w)`` for vocabularies too long to stand in a plan.
+
+    A term that a large share of the documents holds is among the ``HOT_TERMS`` most widespread,
+    which are looked up where the documents are; only rows of other terms are dealt by term.
+    """
+    entries = vocabulary.select("term", "idf", "df")
+    short = entries.filter(F.length("term") <= HOT_CHARS)
+    hot = F.broadcast(short.orderBy(F.desc("df"), "term").limit(HOT_TERMS))
+    rare = entries.join(hot, "term", "left_anti")
+    frequencies = term_frequencies(docs, key, text, ngram)
+    near = frequencies.join(hot, "term")
+    far = frequencies.join(hot, "term", "left_anti").join(rare, "term")
+    return near.unionByName(far).select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def tfidf_weights(

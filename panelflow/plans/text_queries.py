@@ -195,6 +195,31 @@ def tfidf_mean(spark, sf):
     return tfidf.corpus_features(docs, "doc_id").select("doc_id", "tfidf_mean")
 
 
+# More terms than stand in a plan, so that the joined way is taken.
+LONG_VOCABULARY = 20_000
+_LONG_TERMS = O.chain({**O.TERMS, "vocabulary": O.TERMS["vocabulary"].replace("LIMIT 1000", f"LIMIT {LONG_VOCABULARY}")})
+
+
+@query(
+    "tfidf_weights_long",
+    select(
+        "doc_id:i term:s tf:i weight:f",
+        "SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw_weights",
+        _LONG_TERMS,
+    ),
+)
+def tfidf_weights_long(spark, sf):
+    corpus = _corpus(spark, sf)
+    vocabulary = materialize(tfidf.tfidf_vocabulary(corpus, "doc_id", max_features=LONG_VOCABULARY))
+    return tfidf.tfidf_weights(corpus, vocabulary, "doc_id")
+
+
+@query("tfidf_mean_long", select("doc_id:i tfidf_mean:f", "SELECT * FROM complete", _LONG_TERMS))
+def tfidf_mean_long(spark, sf):
+    docs = materialize(_articles(spark, sf).select("doc_id", "token_count", "clean_text"))
+    return tfidf.tfidf_mean(docs, "doc_id", max_features=LONG_VOCABULARY).select("doc_id", "tfidf_mean")
+
+
 @query(
     "parse_published",
     select(

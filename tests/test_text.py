@@ -311,10 +311,10 @@ def brute_vocabulary(values, limit, max_df=0.95):
     return {t: (df[t], total[t], round(math.log((1 + n) / (1 + df[t])) + 1, 9)) for t in kept[:limit]}
 
 
-@pytest.mark.parametrize("limit", [5, 40, 100_000])
-@pytest.mark.parametrize("literals", [3, 5_000])
-def test_vocabulary_equals_brute_force(spark, monkeypatch, limit, literals):
-    monkeypatch.setattr(tfidf, "LITERAL_WORDS", literals)
+@pytest.mark.parametrize("limit", [5, 10, 40, 5_000])
+@pytest.mark.parametrize("bits", [64, 1 << 22])
+def test_vocabulary_equals_brute_force(spark, monkeypatch, limit, bits):
+    monkeypatch.setattr(tfidf, "FILTER_BITS", bits)
     rng = random.Random(3)
     words = ["aa", "bb", "cc", "dd", "ee", "ff", "everywhere"]
     values = [
@@ -327,9 +327,25 @@ def test_vocabulary_equals_brute_force(spark, monkeypatch, limit, literals):
     assert "everywhere" not in found
 
 
-@pytest.mark.parametrize("literals", [2, 5_000])
-def test_weights_have_unit_length_and_mean_covers_vocabulary(spark, monkeypatch, literals):
+def test_filter_knows_its_words_and_few_others(spark):
+    words = spark.createDataFrame([(f"w{i}",) for i in range(20_000)] + [("",), ("é",)], "term STRING")
+    others = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("term"))
+    holds = tfidf._may_hold(tfidf._word_filter(words), F.col("term"))
+    assert words.filter(~holds).count() == 0 and others.filter(holds).count() < 20
+    assert others.filter(tfidf._may_hold(tfidf._word_filter(words.limit(0)), F.col("term"))).count() == 0
+
+
+def test_vocabulary_counts_only_pairs_of_frequent_words(spark):
+    common, rare = "aa bb " * 50, " ".join(f"r{i} s{i}" for i in range(500))
+    docs = corpus(spark, [common, rare])
+    words = tfidf.term_totals(docs, ngram=(1, 1)).filter("total >= 50")
+    assert sorted(column(tfidf.term_totals(docs, ngram=(2, 2), frequent=words), "term")) == ["aa bb", "bb aa"]
+
+
+@pytest.mark.parametrize("literals,hot", [(2, 0), (2, 3), (2, 50_000), (5_000, 0)])
+def test_weights_have_unit_length_and_mean_covers_vocabulary(spark, monkeypatch, literals, hot):
     monkeypatch.setattr(tfidf, "LITERAL_WORDS", literals)
+    monkeypatch.setattr(tfidf, "HOT_TERMS", hot)
     values = ["aa bb cc aa", "bb cc dd", "ee ff ee"] * 2
     docs = corpus(spark, values).withColumn("token_count", F.lit(20))
     vocabulary = tfidf.tfidf_vocabulary(docs, "id")
@@ -347,8 +363,9 @@ def test_weights_of_repeated_and_null_keys_are_the_same_on_both_paths(spark, mon
     docs = spark.createDataFrame(rows, "id STRING, clean_text STRING, token_count INT")
     vocabulary = tfidf.tfidf_vocabulary(docs, "id")
     found = []
-    for literals in (5_000, 2):
+    for literals, hot in ((5_000, 0), (2, 0), (2, 2), (2, 50_000)):
         monkeypatch.setattr(tfidf, "LITERAL_WORDS", literals)
+        monkeypatch.setattr(tfidf, "HOT_TERMS", hot)
         mean = tfidf.tfidf_mean(docs, "id", vocabulary=vocabulary)
         weights = tfidf.tfidf_weights(docs, vocabulary, "id")
         assert mean.columns == [*docs.columns, "tfidf_mean"]
@@ -358,7 +375,7 @@ def test_weights_of_repeated_and_null_keys_are_the_same_on_both_paths(spark, mon
                 sorted((str(r["id"]), r["term"], r["tf"], round(r["weight"], 9)) for r in weights.collect()),
             )
         )
-    assert found[0] == found[1] and len(found[0][0]) == len(rows)
+    assert all(f == found[0] for f in found) and len(found[0][0]) == len(rows)
 
 
 def test_short_vocabulary_does_not_shuffle_documents(spark):
