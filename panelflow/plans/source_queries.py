@@ -167,6 +167,72 @@ def read_feed_entries(spark, sf):
     return entries.select("feed_name", "entry_rank", "title", "link", "published")
 
 
+@query(
+    "read_feed_entries_atom",
+    select(
+        "feed_name:s entry_rank:i title:s url:s published:t",
+        "SELECT source || '-' || doc_id // 200 AS feed_name, "
+        "row_number() OVER (PARTITION BY source, doc_id // 200 ORDER BY doc_id) AS entry_rank, "
+        "'Entry ' || doc_id AS title, 'https://' || source || '.example/' || doc_id AS url, "
+        "CASE WHEN doc_id % 2 = 0 THEN TIMESTAMP '2024-01-01 06:00:00' ELSE TIMESTAMP '2024-02-01 04:30:00' END "
+        "+ to_days(CAST(n_chars % 60 AS INTEGER)) AS published FROM documents",
+    ),
+)
+def read_feed_entries_atom(spark, sf):
+    """Atom feeds of a source's documents; every other entry has only its time of update, with an offset."""
+    path = scratch_path(spark, "atom")
+
+    def stamp(start: str, offset: str):
+        day = F.expr(f"timestamp_ntz'{start}' + make_dt_interval(n_chars % 60)")
+        return F.concat(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(offset))
+
+    target = F.concat(F.lit("https://"), "source", F.lit(".example/"), F.col("doc_id").cast("string"))
+    published = F.concat(F.lit("<published>"), stamp("2024-01-01 06:00:00", "Z"), F.lit("</published>"))
+    item = F.concat(
+        F.lit("<entry><title>Entry "),
+        F.col("doc_id").cast("string"),
+        F.lit('</title><link rel="self" type="application/atom+xml" href="'),
+        target,
+        F.lit('/self"/><link rel="alternate" type="text/html" href="'),
+        target,
+        F.lit('"/>'),
+        F.when(F.col("doc_id") % 2 == 0, published).otherwise(""),
+        F.lit("<updated>"),
+        stamp("2024-02-01 06:30:00", "+02:00"),
+        F.lit("</updated></entry>"),
+    )
+    docs = B.table(spark, sf, "documents")
+    items = F.sort_array(F.collect_list(F.struct("doc_id", item.alias("xml"))))
+    feed = F.concat(F.lit("<feed><title>"), "source", F.lit("</title>"), F.array_join(F.col("items.xml"), ""), F.lit("</feed>"))
+    page = F.concat_ws("-", "source", F.floor(F.col("doc_id") / 200).cast("string"))
+    feeds = docs.groupBy("source", page.alias("feed")).agg(items.alias("items"))
+    feeds.select(feed.alias("value"), "feed").write.partitionBy("feed").text(path)
+    entries = files.read_feed_entries(spark, path, dialect="atom", feed_name=F.col("feed"))
+    entries = frontier.resolve_link(frontier.resolve_published(entries, F.expr(B.NOW)))
+    return entries.select("feed_name", "entry_rank", "title", "url", "published")
+
+
+@query(
+    "read_manifest_document",
+    select(
+        "url:s source:s html_size:i",
+        "SELECT url, CASE WHEN page_id % 5 = 0 THEN 'fallback' ELSE 'main' END AS source, strlen(html) AS html_size FROM pages",
+    ),
+)
+def read_manifest_document(spark, sf):
+    """Single-document manifests, one per hundred pages, with articles and fallback pages; all read back."""
+    path = scratch_path(spark, "manifest")
+    pages = frontier.page_size(B.table(spark, sf, "pages"))
+    source = F.when(F.col("page_id") % 5 == 0, "fallback").otherwise("main")
+    record = F.struct("url", source.alias("source"), "html_size")
+    kinds = {"articles": F.col("page_id") % 5 != 0, "fallback_pages": F.col("page_id") % 5 == 0}
+    lists = [F.collect_list(F.when(which, record)).alias(name) for name, which in kinds.items()]
+    documents = pages.groupBy(F.floor(F.col("page_id") / 100).alias("part")).agg(*lists)
+    body = F.to_json(F.struct(*kinds), {"pretty": "true"})
+    documents.select(body.alias("value"), "part").write.partitionBy("part").text(path)
+    return files.read_manifest(spark, path).select("url", "source", "html_size")
+
+
 @query(
     "resolve_published",
     select("doc_id:i published:t", "SELECT * FROM entries", O.chain(O.FEEDS)),
