@@ -180,6 +180,62 @@ def validate_panel(spark, sf):
     return report.withColumn("accepted", F.col("accepted").cast("string"))
 
 
+DATE_FORMATS = {"yyyy-MM-dd": "%Y-%m-%d", "MM/dd/yyyy": "%m/%d/%Y", "dd/MM/yyyy": "%d/%m/%Y", "yyyy.MM.dd": "%Y.%m.%d"}
+_FORMATTED = {
+    **O.UPLOAD_TEXT,
+    "formatted": (
+        "SELECT * REPLACE (CASE WHEN date = 'someday' THEN date WHEN dataset_id = 'upload_high' THEN strftime(CAST(date AS DATE), '%d/%m/%Y') "
+        "WHEN dataset_id = 'upload_medium' THEN strftime(CAST(date AS DATE), '%Y.%m.%d') ELSE date END AS date) FROM upload_text"
+    ),
+    "attempts": " UNION ALL ".join(
+        f"SELECT dataset_id, '{f}' AS f, {i} AS i, count(try_strptime(date, '{d}')) AS n FROM formatted GROUP BY 1"
+        for i, (f, d) in enumerate(DATE_FORMATS.items())
+    ),
+    "chosen": "SELECT dataset_id, arg_max(f, n * 10 - i) AS date_format FROM attempts GROUP BY 1",
+    "dated_uploads": (
+        "SELECT *, CASE "
+        + " ".join(f"WHEN date_format = '{f}' THEN try_strptime(date, '{d}')" for f, d in DATE_FORMATS.items())
+        + " END AS day, CASE WHEN day IS NULL THEN 1 WHEN try_cast(inflation_rate AS DOUBLE) IS NULL THEN 1 END AS bad "
+        "FROM formatted JOIN chosen USING (dataset_id)"
+    ),
+}
+
+
+def _formatted(spark, sf):
+    """Uploads of which two write their dates in another way."""
+    day = F.col("date").try_cast("date")
+    other = F.when(F.col("dataset_id") == "upload_high", F.date_format(day, "dd/MM/yyyy"))
+    other = other.when(F.col("dataset_id") == "upload_medium", F.date_format(day, "yyyy.MM.dd"))
+    return B.upload_text(spark, sf).withColumn("date", F.coalesce(other, F.col("date")))
+
+
+@query(
+    "validate_panel_formats",
+    select(
+        "dataset_id:s date_format:s records:i rejected:i accepted:s",
+        "SELECT dataset_id, date_format, count(*) AS records, count(bad) AS rejected, "
+        "CASE WHEN count(bad) = 0 THEN 'true' ELSE 'false' END AS accepted FROM dated_uploads GROUP BY 1, 2",
+        O.chain(_FORMATTED),
+    ),
+)
+def validate_panel_formats(spark, sf):
+    _, _, report = quality.validate_panel(_formatted(spark, sf), formats=list(DATE_FORMATS))
+    return report.withColumn("accepted", F.col("accepted").cast("string")).drop("unknown_columns")
+
+
+@query(
+    "validate_panel_formats_valid",
+    select(
+        "dataset_id:s date:d inflation_rate:f",
+        "SELECT dataset_id, CAST(day AS DATE) AS date, CAST(inflation_rate AS DOUBLE) AS inflation_rate FROM dated_uploads WHERE bad IS NULL",
+        O.chain(_FORMATTED),
+    ),
+)
+def validate_panel_formats_valid(spark, sf):
+    valid, _, _ = quality.validate_panel(_formatted(spark, sf), formats=list(DATE_FORMATS))
+    return valid.select("dataset_id", "date", "inflation_rate")
+
+
 @query(
     "select_allowed",
     select("date:s inflation_rate:s gdp_growth:s country_code:s", "SELECT * FROM upload_text", O.chain(O.UPLOAD_TEXT)),

@@ -127,6 +127,18 @@ def test_validate_missing_required_column(spark):
     assert report.first()["accepted"] is False
 
 
+def test_validate_reads_a_dataset_in_one_format(spark):
+    data = [("a", "13/02/2001"), ("a", "03/04/2001"), ("a", "x"), ("b", "02/13/2001"), ("b", "03/04/2001"), ("c", "2001-02-13"), ("d", None), (None, "2001-02-13")]
+    df = upload(spark, [(k, d, "1") for k, d in data], "dataset_id STRING, date STRING, inflation_rate STRING")
+    valid, rejected, report = quality.validate_panel(df, formats=["yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy"])
+    assert sorted(rows(valid.select("dataset_id", "date")), key=str) == sorted(
+        [("a", D(2001, 2, 13)), ("a", D(2001, 4, 3)), ("b", D(2001, 2, 13)), ("b", D(2001, 3, 4)), ("c", D(2001, 2, 13)), ("d", None), (None, D(2001, 2, 13))], key=str
+    )
+    assert rows(rejected) == [("a", "x", "1", "date must be a date")]
+    got = {r["dataset_id"]: (r["date_format"], r["accepted"]) for r in report.collect()}
+    assert got == {"a": ("dd/MM/yyyy", False), "b": ("MM/dd/yyyy", True), "c": ("yyyy-MM-dd", True), "d": ("yyyy-MM-dd", True), None: ("yyyy-MM-dd", True)}
+
+
 def months(spark, data):
     return spark.createDataFrame([(k, D(y, m, 1), v) for k, y, m, v in data], "country_code STRING, date DATE, inflation_rate DOUBLE")
 
