@@ -56,11 +56,11 @@ def merge_indicators(
     return merged.select(*[c for c in PANEL_COLUMNS if c in merged.columns])
 
 
-def master_panel(panels: Sequence[DataFrame]) -> DataFrame:
-    """All panels under one another, ordered by country and date."""
+def master_panel(panels: Sequence[DataFrame], ordered: bool = True) -> DataFrame:
+    """All panels under one another, ordered by country and date; a table that is written needs no global order."""
     if not panels:
         return SparkSession.active().createDataFrame([], schemas.PANEL)
     union = panels[0]
     for panel in panels[1:]:
         union = union.unionByName(panel, allowMissingColumns=True)
-    return union.orderBy("country_code", "date")
+    return union.orderBy("country_code", "date") if ordered else union

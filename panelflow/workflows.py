@@ -50,7 +50,7 @@ def build_panel(
         panel.series_column(series, BASE_INDICATOR, BASE_COLUMN),
         {c: panel.series_column(series, i, c) for i, c in others.items()},
     )
-    files.write_panel(panel.master_panel([merged]), f"{out}/panel")
+    files.write_panel(panel.master_panel([merged], ordered=False), f"{out}/panel", sort_by=["country_code", "date"])
     expected = [BASE_INDICATOR, *others]
     files.write_json_report(catalog.series_report(series, countries, expected), f"{out}/report")
     return spark.read.parquet(f"{out}/panel")

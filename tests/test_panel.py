@@ -166,6 +166,13 @@ def test_rolling_needs_full_window(spark):
     assert out[5]["rolling_std_6"] is None and round(out[6]["rolling_std_6"], 6) == 1.870829
 
 
+def test_a_written_master_panel_is_not_sorted_globally(spark):
+    df = months(spark, [("B", 2001, 1, 1.0), ("A", 2001, 1, 2.0)])
+    assert "rangepartitioning" in plan(panel.master_panel([df, df]))
+    loose = panel.master_panel([df, df], ordered=False)
+    assert "Exchange" not in plan(loose) and loose.count() == 4
+
+
 def test_seasonality_golden(spark):
     row = timeseries.add_seasonality(months(spark, [("A", 2001, 1, 0.0)])).first()
     assert round(row["month_sin"], 7) == 0.5 and round(row["month_cos"], 7) == 0.8660254
