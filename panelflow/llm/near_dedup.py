@@ -541,7 +541,18 @@ def near_duplicates(
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``df`` with one row of each group of near duplicates, that of the smallest id; same columns.
 
-    Rows that repeat the id that stays, and rows without id, all stay.
+    Rows are told apart by id and text: where an id occurs with several texts, each is judged for itself,
+    and of one group's rows with the smallest id the one of the smallest digest stays.  Rows that repeat id and
+    text of one that stays, rows without words and rows without id all stay.  Columns may have any names.
     """
-    gone = near_duplicates(df, id_col, text_col, words, percent).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(broadcast_if_small(materialize(gone.filter("_gone IS NOT NULL"))), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    free = "_gone"
+    while free in {c.lower() for c in df.columns}:
+        free += "_"
+    row_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").cast("binary")
+    digest = F.unhex(F.md5(text))
+    # An absent id sorts last, so that it never names a group with other ids.
+    named = df.select(F.struct(row_id.isNull().alias("absent"), row_id.alias("id"), digest.alias("digest")).alias("row"), text.alias("text"))
+    gone = near_duplicates(named, "row", "text", words, percent).filter("NOT kept AND row.id IS NOT NULL")
+    gone = materialize(gone.select(F.struct("row.id", "row.digest").alias(free)).distinct())
+    same = (row_id == F.col(free)["id"]) & (digest == F.col(free)["digest"])
+    return df.join(broadcast_if_small(gone), same, "left_anti")

@@ -88,6 +88,19 @@ def test_salted_join_and_empty(spark, monkeypatch, docs):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(docs[-90:], 3, 85)
 
 
+def test_keep_first_tells_texts_of_one_id_apart(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    near, other = text + " more", " ".join(f"o{i}" for i in range(50))
+    rows = [(1, text, 7), (2, near, 8), (2, other, 9), (3, "another text of six words", 1), (None, near, 2), (4, None, 3), (4, "", 4), (5, near, 5), (5, text, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone long")
+    kept = N.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(r["_gone"] for r in kept.collect()) == [1, 2, 3, 4, 7, 9]
+    # Two texts of the smallest id in one group: one of them stays.
+    both = spark.createDataFrame([(1, text), (1, near), (2, text)], "doc_id long, text string")
+    assert [r["doc_id"] for r in N.keep_first(both).collect()] == [1]
+
+
 def test_components(spark):
     edges = [(f"v{i:03}", f"v{i + 1:03}") for i in range(0, 60)] + [("z1", "z2"), ("z2", "z1"), ("q", "q"), ("z3", "z2")]
     got = {r["key"]: r["comp"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
