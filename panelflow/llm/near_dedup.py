@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,6 +43,8 @@ MARGIN = 0.15
 SALTS = 64
 # Sets of a dense node that meet its pivots in one run, and shingles these have together.
 PART_ROWS, PART_ITEMS = 4096, 2_000_000
+# Shingles of all pivots that are sent to every task: 8 MB.
+PIVOT_ITEMS = 1_000_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _rng = np.random.default_rng(20)
@@ -105,7 +108,7 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
                     [
                         batch.column(0).slice(s.start, s.stop - s.start),
                         pa.array([len(x) for x in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).hexdigest() if len(x) else None for x in sets], pa.string()),
+                        pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
                         pa.array(sketches, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets).view(np.int64))),
                     ],
@@ -113,7 +116,7 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
                 )
 
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"id {kind}, n long, key string, sketch binary, items array<long>")
+    return slim.mapInArrow(run, f"id {kind}, n long, key binary, sketch binary, items array<long>")
 
 
 def _runs(batches, column: str) -> Iterator[pa.Table]:
@@ -183,7 +186,7 @@ def _clusters(rows: DataFrame, floor: float) -> DataFrame:
                 ).to_batches()
 
     ordered = rows.repartition("node").sortWithinPartitions("node").select("node", "key", "comp", "sketch")
-    found = ordered.mapInArrow(run, "cluster string, key string, comp string")
+    found = ordered.mapInArrow(run, "cluster string, key binary, comp binary")
     return found
 
 
@@ -213,10 +216,10 @@ def _confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         links.append((comps[i], comps[j]))
             if links:
                 a, b = zip(*links)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     held = clusters.join(sets, "key").repartition("cluster").sortWithinPartitions("cluster").select("cluster", "comp", "items")
-    return held.mapInArrow(run, "a string, b string")
+    return held.mapInArrow(run, "a binary, b binary")
 
 
 def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
@@ -243,13 +246,13 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
                 pivots += zip(head.column("key").to_pylist(), head.column("comp").to_pylist(), sketches)
                 if not rest.num_rows:
                     continue
-                s, comps = _matrix(rest.column("sketch")), rest.column("comp").to_numpy(zero_copy_only=False)
+                s, comps = _matrix(rest.column("sketch")), rest.column("comp")
                 for key, comp, sketch in pivots:
                     alike = (s == np.frombuffer(sketch, "<u4")).sum(axis=1) >= floor * COORDINATES
-                    found = rest.select(["key", "comp"]).filter(pa.array(alike & (comps != comp)))
+                    found = rest.select(["key", "comp"]).filter(pc.and_(pa.array(alike), pc.not_equal(comps, pa.scalar(comp, pa.binary()))))
                     if n := found.num_rows:
                         yield pa.RecordBatch.from_arrays(
-                            [*found.columns, pa.array([key] * n), pa.array([comp] * n)], names=["key", "comp", "p_key", "p_comp"]
+                            [*found.columns, pa.array([key] * n, pa.binary()), pa.array([comp] * n, pa.binary())], names=["key", "comp", "p_key", "p_comp"]
                         )
 
     parts = F.ceil(F.col("all") / PART_ROWS).cast("int")
@@ -258,7 +261,7 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
     columns = [F.concat_ws("/", F.col("node").cast("string"), F.col("part").cast("string")).alias("deal"), "pivot", "key", "comp", "sketch"]
     both = dealt.select(*columns).unionByName(spread.select(*columns))
     ordered = both.repartition("deal").sortWithinPartitions("deal", F.desc("pivot"))
-    return ordered.mapInArrow(run, "key string, comp string, p_key string, p_comp string")
+    return ordered.mapInArrow(run, "key binary, comp binary, p_key binary, p_comp binary")
 
 
 def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, percent: int) -> DataFrame:
@@ -281,7 +284,9 @@ def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, perc
     pairs = materialize(_near_pivots(marked, pivots, floor).distinct())
     pivot_sets = sets.join(broadcast_if_small(pairs.select(F.col("p_key").alias("key")).distinct()), "key", "left_semi")
     pivot_sets = materialize(pivot_sets.select(F.col("key").alias("p_key"), F.col("items").alias("p_items")))
-    own = pairs.join(sets.select("key", "items"), "key").join(broadcast_if_small(pivot_sets, 2_000), "p_key")
+    weight = pivot_sets.agg(F.coalesce(F.sum(F.size("p_items").cast("long") + 8), F.lit(0))).first()[0]
+    held = F.broadcast(pivot_sets) if weight <= PIVOT_ITEMS else pivot_sets
+    own = pairs.join(sets.select("key", "items"), "key").join(held, "p_key")
     shared = F.size(F.array_intersect("items", "p_items"))
     return own.filter(_enough(shared, F.size("items"), F.size("p_items"), percent)).select(F.col("comp").alias("a"), F.col("p_comp").alias("b"))
 
@@ -296,19 +301,19 @@ class _Part:
         self.sizes = np.array([len(x) for x in items])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.values, self.places = np.unique(np.concatenate(items), return_inverse=True)
-        self.codes: dict[str, int] = {}
-        self.names: list[str] = []
+        self.codes: dict[bytes, int] = {}
+        self.names: list[bytes] = []
         self.union = _Union(0)
         self.now = np.array([self._code(c) for c in rows["comp"].to_pylist()])
 
-    def _code(self, comp: str) -> int:
+    def _code(self, comp: bytes) -> int:
         code = self.codes.setdefault(comp, len(self.codes))
         if code == len(self.names):
             self.names.append(comp)
             self.union.up.append(code)
         return self.union.root(code)
 
-    def links(self, comp: str, sketch: bytes, items: np.ndarray, floor: float, percent: int) -> list[str]:
+    def links(self, comp: bytes, sketch: bytes, items: np.ndarray, floor: float, percent: int) -> list[bytes]:
         """Components that the pivot is the first to connect with its own."""
         own = self._code(comp)
         alike = (self.now != own) & ((self.sketches == np.frombuffer(sketch, "<u4")).sum(axis=1) >= floor * COORDINATES)
@@ -356,14 +361,14 @@ def _pivot_links(rows: DataFrame, floor: float, percent: int) -> DataFrame:
                     found += [(comp, other) for other in part.links(comp, sketch, np.asarray(items), floor, percent)]
                 if found:
                     x, y = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(y, pa.string())], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["a", "b"])
 
     at = F.pmod(F.xxhash64("key", F.lit("part")), "parts").cast("int")
     dealt = rows.withColumn("part", at).withColumn("meets", F.lit(False))
     spread = rows.filter("pivot").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("meets", F.lit(True))
     columns = [F.concat_ws("/", F.col("node").cast("string"), F.col("part").cast("string")).alias("deal"), "meets", "comp", "sketch", "items"]
     both = dealt.select(*columns).unionByName(spread.select(*columns))
-    return both.repartition("deal").sortWithinPartitions("deal", "meets").mapInArrow(run, "a string, b string")
+    return both.repartition("deal").sortWithinPartitions("deal", "meets").mapInArrow(run, "a binary, b binary")
 
 
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
