@@ -10,15 +10,17 @@ passed on, so a group of copies never becomes all of its pairs.
 A node that stays large after ``LEVELS`` deals is compared with pivots in rounds, confirmed on
 full sets, until every set of it is connected or has been a pivot, so it misses nothing.
 
-A pair of similarity ``s`` shares a node of a tree with probability ``1 - (1 - s) ** BRANCHES``
-where nodes are small; four trees of two branches miss it once in 3.9 million at 0.85 and
-once in 390,000 at 0.8.  Where nodes are large at every level the pair has to share four
-chosen tokens one after another: four trees miss it once in 29,000 at 0.85 and once in 1,900
-at 0.8.
+A tree begins with ``ROOTS`` branches, and large nodes of the first level have ``BRANCHES``.
+A pair of similarity ``s`` shares a node of a tree with probability ``1 - (1 - s) ** ROOTS``
+where nodes are small; two trees of four roots miss it once in 3.9 million at 0.85 and once in
+390,000 at 0.8.  Where nodes are large at every level the pair has to share four chosen tokens
+one after another: both trees miss it once in 29,000 at 0.85 and once in 1,900 at 0.8.  These
+are the numbers of four trees of two roots, which took twice as many jobs.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ from panelflow.llm.tokens import slices
 from panelflow.session import broadcast_if_small, materialize
 
 COORDINATES = 128
-TREES, BRANCHES = 4, 2
+TREES, ROOTS, BRANCHES = 2, 4, 2
 # Largest node that is compared exhaustively, and levels of dealing before the dense rule.
 NODE_ROWS, LEVELS = 512, 3
 # Sets of a dense node that all of its others are compared with, and how many unconnected
@@ -190,6 +192,15 @@ def _clusters(rows: DataFrame, floor: float) -> DataFrame:
     return found
 
 
+def _released(df: DataFrame) -> None:
+    """Let Spark drop broadcasts and shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver collects garbage, which a driver with room may not do for long.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _enough(shared, a, b, percent: int):
     return 100 * shared >= percent * (a + b - shared)
 
@@ -462,7 +473,7 @@ def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
         rows = rows.withColumn("comp", F.col("key"))
     else:
         rows = rows.join(broadcast_if_small(comps), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    first = [tree * BRANCHES + b for b in range(BRANCHES)]
+    first = [tree * ROOTS + b for b in range(ROOTS)]
     roots = F.array(*[F.xxhash64(F.lit(c), _coordinate(F.lit(c))) for c in first])
     rows = materialize(_dealt(rows.withColumn("node", F.explode(roots))))
     small, found = [rows.filter(F.col("rows") <= NODE_ROWS)], []
@@ -526,6 +537,7 @@ def near_duplicates(
         links = more if links is None else links.unionByName(more)
         if tree == trees - 1 or not more.isEmpty():
             comps = materialize(components(links))
+        _released(df)
     groups = reps.join(broadcast_if_small(comps), "key", "left").select("key", "id", "copies", F.coalesce("comp", "key").alias("comp"), F.col("comp").isNotNull().alias("linked"))
     several = groups.filter("linked OR copies > 1")
     least = several.groupBy("comp").agg(F.min("id").alias("component_id"))
