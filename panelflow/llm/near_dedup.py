@@ -47,6 +47,8 @@ SALTS = 64
 PART_ROWS, PART_ITEMS = 4096, 2_000_000
 # Shingles of all pivots that are sent to every task: 8 MB.
 PIVOT_ITEMS = 1_000_000
+# Words whose hashes a Python worker remembers; others are hashed each time. Rows read at once.
+HELD_WORDS, TEXT_ROWS = 100_000, 1000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _rng = np.random.default_rng(20)
@@ -57,7 +59,7 @@ _MULTIPLY = _rng.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000 and len(word) <= 40:
+        if len(self) < HELD_WORDS and len(word) <= 40:
             self[word] = value
         return value
 
@@ -97,7 +99,7 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
 
     def run(batches):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in (b.slice(a, TEXT_ROWS) for b in batches for a in range(0, b.num_rows, TEXT_ROWS)):
             texts = batch.column(1).to_pylist()
             for s in slices(texts, 1_000_000):
                 sets = [shingle_set(t, words, hashes) for t in texts[s]]
