@@ -104,7 +104,7 @@ def may_change(word: Column) -> Column:
 
 def corpus_words(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Distinct words of a corpus, reduced per task before the shuffle."""
-    return df.select(F.explode(F.array_distinct(tokens)).alias("word")).distinct()
+    return df.select(F.explode(tokens).alias("word")).distinct()
 
 
 def lemma_dictionary(words: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
@@ -220,11 +220,13 @@ def lemmatize(
     """Noun lemmas per token.
 
     Give a ``dictionary(form, lemma)`` to use it as it is, or a ``lexicon(word)`` to
-    derive one; with neither, the corpus' own words are the lexicon.  A derived
-    dictionary is written once to shared storage, then counted and read from there.
+    derive one; with neither, the corpus' own words are the lexicon.  To derive one,
+    ``df`` and its words are written first, so that tokens are made once though read twice or more;
+    the dictionary is written too, then counted and read from there.
     """
     if dictionary is None:
-        dictionary = materialize(lemma_dictionary(corpus_words(df, tokens), lexicon))
+        df = materialize(df)
+        dictionary = materialize(lemma_dictionary(materialize(corpus_words(df, tokens)), lexicon))
     return apply_lemmas(df, dictionary, key, tokens, out)
 
 
@@ -343,7 +345,7 @@ def article_features(
     )
     if dictionary is None:
         df = materialize(df)
-        dictionary = materialize(lemma_dictionary(corpus_words(df), lexicon))
+        dictionary = materialize(lemma_dictionary(materialize(corpus_words(df)), lexicon))
     if lemmatize_lexicon:
         positive, negative = (lemmatized(w, dictionary) for w in (positive, negative))
         categories = {c: lemmatized(w, dictionary) for c, w in categories.items()}

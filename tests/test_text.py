@@ -418,3 +418,18 @@ def test_monthly_drops_unparsed_dates(spark):
 def test_stop_words_are_hashed(spark):
     df = texts(spark, ["a"], "text").select(T.content_tokens(F.split("text", " ")).alias("t"))
     assert "INSET" in plan(df)
+
+
+def test_tokens_are_made_once_for_words_and_lemmas(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def split(value):
+        made.add(1)
+        return value.split()
+
+    df = texts(spark, ["rates rate", "prices price", "rates"], "text").select(
+        "id", F.udf(split, "array<string>")("text").alias("tokens")
+    )
+    found = {r["id"]: r["lemmas"] for r in text.lemmatize(df, "id").collect()}
+    assert found == {0: ["rate", "rate"], 1: ["price", "price"], 2: ["rate"]}
+    assert made.value == 3
