@@ -92,7 +92,8 @@ def term_frequencies(
 ) -> DataFrame:
     """``(key, term, tf)`` without a shuffle."""
     counted = _with_frequencies(_with_sorted_terms(docs.select(key, text), text, ngram))
-    return counted.select(key, F.inline("_runs"))
+    # Not inline(): Spark would test its array for emptiness below, and compute it there once more.
+    return counted.select(key, F.inline_outer("_runs")).filter("term IS NOT NULL")
 
 
 def _places(word: Column) -> list[Column]:
@@ -133,7 +134,7 @@ def term_totals(
     """
     terms = (
         _with_sorted_terms(docs.select(text), text, ngram)
-        .select(F.inline(F.arrays_zip(F.col("_s"), _shifted())).alias("term", "before"))
+        .select(F.inline_outer(F.arrays_zip(F.col("_s"), _shifted())).alias("term", "before"))
         .filter(F.col("term").isNotNull())
     )
     if frequent is not None:
@@ -238,16 +239,18 @@ def _joined_weights(
     """``(key, term, tf, w)`` for vocabularies too long to stand in a plan.
 
     A term that a large share of the documents holds is among the ``HOT_TERMS`` most widespread,
-    which are looked up where the documents are; only rows of other terms are dealt by term.
+    which are looked up where the documents are; only rows of other terms are dealt by term, and
+    no document is read for them if there are none.
     """
     entries = vocabulary.select("term", "idf", "df")
     short = entries.filter(F.length("term") <= HOT_CHARS)
     hot = F.broadcast(short.orderBy(F.desc("df"), "term").limit(HOT_TERMS))
-    rare = entries.join(hot, "term", "left_anti")
+    rare = entries.join(hot, "term", "left_anti").filter("term IS NOT NULL")
     frequencies = term_frequencies(docs, key, text, ngram)
-    near = frequencies.join(hot, "term")
-    far = frequencies.join(hot, "term", "left_anti").join(rare, "term")
-    return near.unionByName(far).select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    found = frequencies.join(hot, "term")
+    if not rare.isEmpty():
+        found = found.unionByName(frequencies.join(hot, "term", "left_anti").join(rare, "term"))
+    return found.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def tfidf_weights(
@@ -266,12 +269,13 @@ def tfidf_weights(
     if terms is None:
         rows = numbered(docs.select(key, text))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
-        raw = _joined_weights(rows, vocabulary, "_row", text, ngram).withColumn("weight", F.col("w") / norm)
-        return raw.join(rows.select("_row", key), "_row").select(key, "term", "tf", "weight")
+        both = rows.select(F.struct("_row", key).alias("_keys"), text)
+        raw = _joined_weights(both, vocabulary, "_keys", text, ngram).withColumn("_row", F.col("_keys._row"))
+        return raw.select(F.col(f"_keys.{key}").alias(key), "term", "tf", (F.col("w") / norm).alias("weight"))
     weighted = _with_weights(docs.select(key, text), vocabulary, terms, text, ngram)
-    return weighted.select(key, "_norm", F.inline("_weights")).select(
-        key, "term", "tf", (F.col("w") / F.col("_norm")).alias("weight")
-    )
+    # inline_outer() as in term_frequencies(): all of the above would run once more in a filter.
+    rows = weighted.select(key, "_norm", F.inline_outer("_weights")).filter("term IS NOT NULL")
+    return rows.select(key, "term", "tf", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
 def tfidf_mean(

@@ -433,3 +433,24 @@ def test_tokens_are_made_once_for_words_and_lemmas(spark):
     found = {r["id"]: r["lemmas"] for r in text.lemmatize(df, "id").collect()}
     assert found == {0: ["rate", "rate"], 1: ["price", "price"], 2: ["rate"]}
     assert made.value == 3
+
+
+def test_terms_are_not_counted_once_more_in_a_filter(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (1, "bb"), (2, ""), (3, None)], "id INT, clean_text STRING")
+    vocabulary = tfidf.tfidf_vocabulary(docs, "id", max_df=1.0).localCheckpoint()
+    weights = tfidf.tfidf_weights(docs, vocabulary, "id")
+    conditions = [line for line in plan(weights).splitlines() if line.startswith("Condition")]
+    assert not [c for c in conditions if "sort_array" in c]
+    assert sorted((r["id"], r["term"], r["tf"]) for r in weights.collect()) == [
+        (1, "aa", 2), (1, "aa bb", 1), (1, "bb", 1), (1, "bb", 1), (1, "bb aa", 1)
+    ]
+
+
+def test_long_vocabularies_without_rare_terms_read_documents_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, "aa bb aa"), (7, "aa bb aa"), (None, "bb cc"), (2, "")], "id INT, clean_text STRING")
+    vocabulary = tfidf.tfidf_vocabulary(docs, "id", max_df=1.0).localCheckpoint()
+    near = tfidf.tfidf_weights(docs, vocabulary, "id").withColumn("weight", F.round("weight", 9)).collect()
+    monkeypatch.setattr(tfidf, "LITERAL_WORDS", 1)
+    joined = tfidf.tfidf_weights(docs, vocabulary, "id").withColumn("weight", F.round("weight", 9))
+    assert "LeftAnti" not in plan(joined, "simple")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, near))
