@@ -45,7 +45,7 @@ def shaped(values: np.ndarray, like: Params) -> Params:
 
 @dataclass
 class Pairs:
-    """Smoothed pair distribution over the listed ids and one for all others."""
+    """Smoothed pair distribution; ``log_id`` is empty where pairs are too many for a table."""
 
     log_id: np.ndarray  # log B(id | previous)
     log_class: np.ndarray  # log B(class | previous)
@@ -192,14 +192,17 @@ def text_windows(texts: list[np.ndarray], start_id: int, share: int = 1, seen: i
 
 
 def score_texts(params: Params, pairs: Pairs, texts: list[np.ndarray], start_id: int, most: int = 256) -> np.ndarray:
-    """Natural log-probability of each text; every place is scored in exactly one window."""
+    """``sum(log p(class | window) - log B(class | previous))`` of each text; every place is scored in exactly one window.
+
+    The caller adds ``log B(id | previous)``, for which pair counts are needed.
+    """
     _, owner, previous, wanted, scored = text_windows(texts, start_id)
     total = np.zeros(len(texts))
     for a in range(0, len(owner), most):
         prev, want = previous[a : a + most], wanted[a : a + most].ravel()
         z, logsum, _ = class_scores(params, prev, pairs)
-        prev, classes = prev.ravel(), pairs.classes[want]
-        logp = z[np.arange(len(z)), classes] - logsum + pairs.log_id[prev, want] - pairs.log_class[prev, classes]
+        classes = pairs.classes[want]
+        logp = z[np.arange(len(z)), classes] - logsum - pairs.log_class[prev.ravel(), classes]
         logp *= scored[a : a + most].ravel()
         total += np.bincount(owner[a : a + most], weights=logp.reshape(-1, WINDOW).sum(axis=1, dtype=float), minlength=len(texts))
     return total

@@ -15,8 +15,12 @@ from panelflow.llm import lm_model as M
 from panelflow.llm.tokens import encoder, slices
 from panelflow.session import materialize
 
-# Ids with pair counts and vectors of their own; others share one and are told apart by their counts.
-LISTED_IDS = 1024
+# The most frequent ids: classes are made of them, and their pair counts stand in a square table.
+DENSE_IDS = 1024
+# Other pairs whose counts every task holds, at most; counts of all others are joined.
+HELD_PAIRS = 400_000
+# Texts and ids that a task works on at once, and distinct pairs that it holds.
+PORTION_TEXTS, PORTION_IDS, DISTINCT_PAIRS = 200, 300_000, 500_000
 # Words whose counts every task holds, at most; counts of all others are joined.
 HELD_WORDS = 150_000
 # Every window of every task is trained on in each round; a step takes STEP windows.
@@ -151,47 +155,123 @@ def subword_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     )
 
 
-def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+def _portions(batch: pa.RecordBatch):
+    """``(first row, texts' ids)`` of a few rows at a time, so that a batch is never unpacked whole."""
     unpack = zstandard.ZstdDecompressor()
-    pairs = zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist())
-    return [np.frombuffer(unpack.decompress(i), f"<u{w}").astype(np.int64) for i, w in pairs]
+    begin, texts, held = 0, [], 0
+    for at, (packed, width) in enumerate(zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist())):
+        texts.append(np.frombuffer(unpack.decompress(packed), f"<u{width}").astype(np.int64))
+        held += len(texts[-1])
+        if len(texts) == PORTION_TEXTS or held >= PORTION_IDS:
+            yield begin, texts
+            begin, texts, held = at + 1, [], 0
+    if texts:
+        yield begin, texts
 
 
-def _id_counts(tokens: DataFrame, size: int) -> np.ndarray:
-    def run(batches):
-        total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            texts = _unpacked(batch)
-            if texts:
-                total += np.bincount(np.concatenate(texts), minlength=size)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [t for _, texts in _portions(batch) for t in texts]
+
 
-    found = tokens.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(size, dtype=np.int64)
-    counts[found["id"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
-    return counts
+def _with_previous(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, previous id, id)`` of every place; ``start`` precedes a text."""
+    lengths = np.array([len(t) for t in texts])
+    ids = np.concatenate(texts)
+    previous = np.concatenate([ids[:1], ids[:-1]])
+    previous[(np.cumsum(lengths) - lengths)[lengths > 0]] = start
+    return np.repeat(np.arange(len(texts)), lengths), previous, ids
 
 
-def _pair_counts(tokens: DataFrame, listed: np.ndarray, start: int) -> np.ndarray:
-    """Counts of (previous, next) over listed ids, at most ``(start + 1) * start`` of them."""
+def _summed(frame: DataFrame, size: int, cells) -> np.ndarray:
+    """Sums per cell below ``size`` over all tasks; ``cells(batch)`` yields cells and their weights or ``None``."""
 
     def run(batches):
-        total = np.zeros((start + 1) * start, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            texts = [listed[t] for t in _unpacked(batch)]
-            if texts:
-                cells = [np.concatenate([[start], t[:-1]]) * start + t for t in texts]
-                total += np.bincount(np.concatenate(cells), minlength=len(total))
+            for cell, n in cells(batch):
+                if n is None:
+                    total += np.bincount(cell, minlength=size)
+                else:
+                    np.add.at(total, cell, n)
         used = np.flatnonzero(total)
         for a in range(0, len(used), 100_000):
             part = used[a : a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["cell", "n"])
 
-    found = tokens.select("ids", "width").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((start + 1) * start)
-    counts[found["cell"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
-    return counts.reshape(start + 1, start)
+    found = frame.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    sums = np.zeros(size, dtype=np.int64)
+    sums[found["cell"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    return sums
+
+
+def _id_counts(tokens: DataFrame, size: int) -> np.ndarray:
+    def cells(batch):
+        encoder.cache_clear()  # the words remembered while texts were encoded are not needed any more
+        for _, texts in _portions(batch):
+            yield np.concatenate(texts), None
+
+    return _summed(tokens.select("ids", "width"), size, cells)
+
+
+def _pair_counts(tokens: DataFrame, listed: np.ndarray, start: int) -> DataFrame:
+    """``(cell, n)`` of all pairs, ``cell`` being ``previous * start + next``; ``start`` precedes a text."""
+
+    def run(batches):
+        held = []
+
+        def flush():
+            cells, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            counts = np.bincount(back, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+            held.clear()
+            for a in range(0, len(cells), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + 100_000]), pa.array(counts[a : a + 100_000])], names=["cell", "n"])
+
+        for batch in batches:
+            for _, texts in _portions(batch):
+                _, previous, ids = _with_previous([listed[t] for t in texts], start)
+                held.append(np.unique(previous * start + ids, return_counts=True))
+                if sum(len(c) for c, _ in held) > DISTINCT_PAIRS:
+                    yield from flush()
+        if held:
+            yield from flush()
+
+    return tokens.select("ids", "width").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+
+
+def _largest_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The pairs that tasks hold, at most ``HELD_PAIRS``, and the others, ``None`` if there are none."""
+    # By the power of 2 ** (1/8) of their count: a few hundred rows at most.
+    power = F.floor(8 * F.log2("n"))
+    least, taken = 1 << 62, 0
+    for r in sorted(pairs.groupBy(power.alias("p")).count().collect(), reverse=True):
+        taken += r["count"]
+        if taken > HELD_PAIRS:
+            return pairs.filter(power >= least), pairs.filter(power < least)
+        least = r["p"]
+    return pairs, None
+
+
+def _all_classes(pairs: DataFrame, dense: M.Pairs, ids: int, width: int) -> np.ndarray:
+    """The class of each id; beyond the dense ones, that whose members have the most similar neighbours."""
+    if ids <= len(dense.classes):
+        return dense.classes[:ids]
+    many, first = M.CLASSES + 1, np.full(ids + 1, M.CLASSES)
+    first[: len(dense.classes)] = dense.classes
+
+    def cells(batch):
+        before, after = np.divmod(batch.column("cell").to_numpy(), width)
+        n = batch.column("n").to_numpy()
+        yield np.minimum(before, ids) * many + first[after], n
+        yield (ids + 1 + after) * many + first[np.minimum(before, ids)], n
+
+    sides = _summed(pairs, 2 * (ids + 1) * many, cells).reshape(2, ids + 1, many)[:, :ids]
+    x = np.concatenate([np.sqrt(s / np.maximum(s.sum(axis=1, keepdims=True), 1)) for s in sides], axis=1)
+    centres = np.zeros((M.CLASSES, 2 * many))
+    np.add.at(centres, dense.classes, x[: len(dense.classes)])
+    centres /= np.maximum(np.bincount(dense.classes, minlength=M.CLASSES), 1)[:, None]
+    near = np.argmax(x @ centres.T - 0.5 * (centres**2).sum(axis=1), axis=1)
+    near[: len(dense.classes)] = dense.classes
+    return near
 
 
 def _train_round(tokens: DataFrame, params: M.Params, pairs: M.Pairs, listed: np.ndarray, start: int) -> tuple[M.Params, int]:
@@ -208,9 +288,8 @@ def _train_round(tokens: DataFrame, params: M.Params, pairs: M.Pairs, listed: np
             adam.step(grads)
 
         for batch in batches:
-            texts = [listed[t] for t in _unpacked(batch)]
-            for a in range(0, len(texts), 200):
-                _, _, *part = M.text_windows(texts[a : a + 200], start)
+            for _, texts in _portions(batch):
+                _, _, *part = M.text_windows([listed[t] for t in texts], start)
                 held.append(tuple(part))
                 if sum(len(h[0]) for h in held) >= STEP:
                     whole = [np.concatenate(c) for c in zip(*held)]
@@ -239,33 +318,90 @@ def model_scores(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     size = encoder(path).tokenizer.get_vocab_size()
     known = tokens.filter("NOT held_out")
     counts = _id_counts(known, size)
-    listed_ids = np.argsort(-counts, kind="stable")[:LISTED_IDS]
-    other = len(listed_ids)
-    listed = np.full(size, other, dtype=np.int64)
-    listed[listed_ids] = np.arange(other)
-    start = other + 1
-    rest = counts + 0.1
-    rest[listed_ids] = 0
-    log_rest = np.where(rest > 0, np.log(np.maximum(rest, 1e-12) / max(rest.sum(), 1e-12)), 0.0)
-    of_listed = np.bincount(listed, weights=counts, minlength=start)
-    pairs = M.pair_tables(_pair_counts(known, listed, start), of_listed)
+    # Every id of a training text by falling count, then all unseen ones as one: their counts are equal.
+    used = int((counts > 0).sum())
+    listed = np.full(size, used, dtype=np.int64)
+    listed[np.argsort(-counts, kind="stable")[:used]] = np.arange(used)
+    start, unseen = used + 1, size - used
+    weight = np.bincount(listed, weights=counts + 0.1, minlength=start)
+    overall = weight / weight.sum()
+    cells = materialize(_pair_counts(known, listed, start))
+    before, after = F.floor(F.col("cell") / start), F.col("cell") % start
+    dense = min(used, DENSE_IDS)
+    inside = (after < dense) & (before < dense)
+    found = cells.filter(inside | ((after < dense) & (before == start))).toPandas().to_numpy(dtype=np.int64)
+    square = np.zeros((dense + 1, dense))
+    square[np.minimum(found[:, 0] // start, dense), found[:, 0] % start] = found[:, 1]
+    by_count = np.sort(counts)[::-1].astype(float)
+    of_dense = M.pair_tables(square, by_count[:dense]) if dense else M.Pairs(square, square, np.zeros(0, dtype=np.int64))
+    classes = np.append(_all_classes(cells, of_dense, used, start), 0)
+    of_class = np.bincount(classes, weights=overall, minlength=M.CLASSES)
+
+    def by_class(batch):
+        previous, following = np.divmod(batch.column("cell").to_numpy(), start)
+        yield previous * M.CLASSES + classes[following], batch.column("n").to_numpy()
+
+    follows = _summed(cells, (start + 1) * M.CLASSES, by_class).reshape(start + 1, M.CLASSES)
+    every = follows.sum(axis=1) + M.SMOOTHING
+    log_class = np.log((follows + M.SMOOTHING * of_class) / every[:, None] + 1e-30).astype(np.float32)
+    pairs = M.Pairs(np.zeros((0, 0), np.float32), log_class, classes)
     params = M.begin(start + 1)
     for _ in range(ROUNDS):
         params, _ = _train_round(known, params, pairs, listed, start)
 
+    least, log_every = M.SMOOTHING * overall, np.log(every)
+    large, rest = _largest_pairs(cells.filter(~inside))
+    largest = large.toPandas().sort_values("cell").to_numpy(dtype=np.int64)
+    held, held_log = largest[:, 0].copy(), np.log(largest[:, 1] + least[largest[:, 0] % start])
+    square_log = np.log(square[:dense] + least[:dense]).astype(np.float32)
+    joined = rest is not None
+
     def run(batches):
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts = _unpacked(batch)
-            for a in range(0, len(texts), 200):
-                part = texts[a : a + 200]
-                total = M.score_texts(params, pairs, [listed[t] for t in part], start)
-                total += [log_rest[t].sum() for t in part]
-                rows = batch.slice(a, len(part))
-                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("digest"), pa.array(total / np.log(10))], names=["id", "digest", "score"])
+            for first, texts in _portions(batch):
+                texts = [listed[t] for t in texts]
+                total = M.score_texts(params, pairs, texts, start)
+                text, previous, ids = _with_previous(texts, start)
+                both = (previous < dense) & (ids < dense)
+                logp = np.empty(len(ids))
+                logp[both] = square_log[previous[both], ids[both]]
+                place = np.flatnonzero(~both)
+                cell = previous[place] * start + ids[place]
+                at = np.minimum(np.searchsorted(held, cell), max(len(held) - 1, 0))
+                hit = held[at] == cell if len(held) else np.zeros(len(cell), dtype=bool)
+                logp[place[hit]] = held_log[at[hit]]
+                place, cell = place[~hit], cell[~hit]
+                # Pairs that are not held do not occur, or are looked up by the join.
+                logp[place] = 0 if joined else np.log(least[ids[place]])
+                logp -= log_every[previous] + np.where(ids == used, np.log(max(unseen, 1)), 0)
+                total += np.bincount(text, weights=logp, minlength=len(texts))
+                if not joined:
+                    place, cell = place[:0], cell[:0]
+                ends = pa.array(np.cumsum([0, *np.bincount(text[place], minlength=len(texts))]), pa.int32())
+                rows = batch.slice(first, len(texts))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (cell, least[ids[place]])]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("digest"), pa.array(range(row, row + len(texts))), pa.array(total), *lists],
+                    names=["id", "digest", "row", "part", "cells", "least"],
+                )
+                row += len(texts)
 
     kind = tokens.schema["id"].dataType.simpleString()
-    scored = tokens.select("id", "digest", "ids", "width").mapInArrow(run, f"id {kind}, digest string, score double")
-    return scored.groupBy("id", "digest").agg(F.max("score").alias("score"))
+    schema = f"id {kind}, digest string, row long, part double, cells array<long>, least array<double>"
+    scored = tokens.select("id", "digest", "ids", "width").mapInArrow(run, schema)
+    score = F.col("part")
+    if joined:
+        scored = materialize(scored)
+        missed = scored.select("row", F.inline(F.arrays_zip(F.col("cells").alias("cell"), "least")))
+        # A pair never seen in training has no count.
+        log = F.log(F.coalesce("n", F.lit(0)) + F.col("least"))
+        sums = missed.join(rest, "cell", "left").groupBy("row").agg(F.sum(log).alias("rare"))
+        scored = scored.join(sums, "row", "left")
+        score = score + F.coalesce("rare", F.lit(0.0))
+    return scored.groupBy("id", "digest").agg(F.max(score / float(np.log(10))).alias("score"))
 
 
 def score_texts(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,8 +410,8 @@ def score_texts(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
     Learns from the rows that are not held out.  ``base_score`` is the log10 probability of the
     words and an end by smoothed counts over all of those rows; ``score`` that of the subword
     ids and an end by the attention model (``lm_model``), each id scored in one of overlapping
-    windows.  Subword counts and pair counts cover all training texts; gradients are taken on
-    all of their windows, ``ROUNDS`` times.
+    windows.  Every id of a training text has a vector and exact pair counts; gradients are taken on
+    all windows of all training texts, ``ROUNDS`` times.
 
     A null text counts as empty and has just the end.  A null id is not held out.  Repeated
     rows count and are scored each.  Without training rows all counts are 0.

@@ -110,3 +110,31 @@ def test_every_training_window_is_trained_on(spark):
     trained, used = lm_score._train_round(tokens, params, M.pair_tables(counts, counts.sum(axis=0)), listed, 50)
     assert used == len(M.windows(np.array([len(t) for t in texts]))[0]) > 300
     assert not np.array_equal(trained["out"], params["out"])
+
+
+@pytest.mark.parametrize("held", [400_000, 40, 0])
+def test_every_pair_has_its_own_count(spark, monkeypatch, held):
+    """Scores are those by exact pair counts of all ids, held by the tasks or joined, dense or not."""
+    monkeypatch.setattr(lm_score, "DENSE_IDS", 20)
+    monkeypatch.setattr(lm_score, "HELD_PAIRS", held)
+    monkeypatch.setattr(lm_score, "DISTINCT_PAIRS", 50)
+    monkeypatch.setattr(lm_score, "PORTION_IDS", 300)
+    monkeypatch.setattr(lm_score, "ROUNDS", 0)  # attention begins at the pair counts' classes
+    words = ["".join(w) for w in np.random.default_rng(3).choice(list("abcdefghijklmnopqrstuvwxyz"), (97, 6))]
+    docs = [(i, " ".join(words[i * j % 97] for j in range(3 * i))) for i in range(40)] + [(50, "unseen words here"), (51, None)]
+    frame = spark.createDataFrame(docs, "id long, text string").withColumn("held_out", F.col("id") % 10 == 0)
+    got = {r["id"]: r["score"] for r in lm_score.model_scores(frame, WORD, 49407).collect()}
+    rows = lm_score.subword_ids(frame, WORD, 49407).toPandas()
+    texts = dict(zip(rows["id"], lm_score._unpacked(pa.RecordBatch.from_pandas(rows))))
+    before = {i: [-1, *t[:-1].tolist()] for i, t in texts.items()}
+    size = lm_score.encoder(WORD).tokenizer.get_vocab_size()
+    trained = [i for i in texts if i % 10]
+    ids = Counter(x for i in trained for x in texts[i].tolist())
+    pairs = Counter(p for i in trained for p in zip(before[i], texts[i].tolist()))
+    firsts = Counter(p for i in trained for p in before[i])
+    total = sum(ids.values()) + 0.1 * size
+    share = lambda x: M.SMOOTHING * (ids[x] + 0.1) / total
+    want = {i: sum(math.log10((pairs[p, x] + share(x)) / (firsts[p] + M.SMOOTHING)) for p, x in zip(before[i], t.tolist())) for i, t in texts.items()}
+    assert len(ids) > 60 and got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], rel=1e-4)
