@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelflow.llm.tokens import slices
-from panelflow.session import broadcast_if_small, materialize
+from panelflow.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
 
 COORDINATES = 128
 TREES, ROOTS, BRANCHES = 2, 4, 2
@@ -236,9 +236,9 @@ def _confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
-    """Pairs of a dense node's sets and its pivots that are not connected and look alike.
+    """Each dense node's sets with those of its pivots that look alike and are not connected with them.
 
-    A node is dealt into parts of about ``PART_ROWS`` sets that each get all its pivots, so a
+    A set is one row for a node, however many pivots it has there.  A node is dealt into parts of about ``PART_ROWS`` sets that each get all its pivots, so a
     set is read once however many pivots there are, and no node lands in one task.
     """
 
@@ -257,16 +257,22 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
                 head, rest = here.slice(0, first), here.slice(first)
                 sketches = head.column("sketch").to_pylist()
                 pivots += zip(head.column("key").to_pylist(), head.column("comp").to_pylist(), sketches)
-                if not rest.num_rows:
+                if not rest.num_rows or not pivots:
                     continue
                 s, comps = _matrix(rest.column("sketch")), rest.column("comp")
-                for key, comp, sketch in pivots:
-                    alike = (s == np.frombuffer(sketch, "<u4")).sum(axis=1) >= floor * COORDINATES
-                    found = rest.select(["key", "comp"]).filter(pc.and_(pa.array(alike), pc.not_equal(comps, pa.scalar(comp, pa.binary()))))
-                    if n := found.num_rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [*found.columns, pa.array([key] * n, pa.binary()), pa.array([comp] * n, pa.binary())], names=["key", "comp", "p_key", "p_comp"]
-                        )
+                met = np.empty((rest.num_rows, len(pivots)), dtype=bool)
+                for k, (_, comp, sketch) in enumerate(pivots):
+                    apart = pc.not_equal(comps, pa.scalar(comp, pa.binary())).to_numpy(zero_copy_only=False)
+                    met[:, k] = apart & ((s == np.frombuffer(sketch, "<u4")).sum(axis=1) >= floor * COORDINATES)
+                if not met.any():
+                    continue
+                some = np.flatnonzero(met.any(axis=1))
+                which = pa.array(np.nonzero(met)[1])
+                ends = pa.array(np.cumsum([0, *met[some].sum(axis=1)]), pa.int32())
+                keys, owns = (pa.array(x, pa.binary()).take(which) for x in list(zip(*pivots))[:2])
+                lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([keys, owns], names=["p_key", "p_comp"]))
+                found = rest.select(["key", "comp"]).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([*found.columns, lists], names=["key", "comp", "pivots"])
 
     parts = F.ceil(F.col("all") / PART_ROWS).cast("int")
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit("part")), parts).cast("int")).withColumn("pivot", F.lit(False))
@@ -274,7 +280,7 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, floor: float) -> DataFrame:
     columns = [F.concat_ws("/", F.col("node").cast("string"), F.col("part").cast("string")).alias("deal"), "pivot", "key", "comp", "sketch"]
     both = dealt.select(*columns).unionByName(spread.select(*columns))
     ordered = both.repartition("deal").sortWithinPartitions("deal", F.desc("pivot"))
-    return ordered.mapInArrow(run, "key binary, comp binary, p_key binary, p_comp binary")
+    return ordered.mapInArrow(run, "key binary, comp binary, pivots array<struct<p_key: binary, p_comp: binary>>")
 
 
 def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, percent: int) -> DataFrame:
@@ -283,7 +289,7 @@ def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, perc
     A set is loose if it is outside the node's largest component.  Sets within one component
     need no comparison, so ``loose x all`` settles a node; before that, each tree takes other
     pivots, which connect most of a group of copies.  Work is linear in the node's rows.  What
-    this leaves open is dealt on to the next level, and at the last one left to ``_settled_links``.
+    this leaves open is dealt on to the next level, and at the last one left to ``_settled``.
     """
     parts = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
     sums = parts.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
@@ -294,7 +300,9 @@ def _dense_links(rows: DataFrame, sets: DataFrame, tree: int, floor: float, perc
     chosen = marked.filter(~loose).groupBy("node", "all", F.pmod(F.xxhash64("key", F.lit(tree), F.lit("p")), F.lit(PIVOTS)).alias("seat"))
     drawn = chosen.agg(F.min(order).alias("p")).select("node", "all", F.col("p.key").alias("key"), F.col("p.comp").alias("comp"), F.col("p.sketch").alias("sketch"))
     pivots = materialize(settled.unionByName(drawn))
-    pairs = materialize(_near_pivots(marked, pivots, floor).distinct())
+    # A set meets the same pivots in several nodes.
+    met = _near_pivots(marked, pivots, floor).groupBy("key", "comp").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("pivots"))
+    pairs = materialize(met.select("key", "comp", F.inline("pivots")))
     pivot_sets = sets.join(broadcast_if_small(pairs.select(F.col("p_key").alias("key")).distinct()), "key", "left_semi")
     pivot_sets = materialize(pivot_sets.select(F.col("key").alias("p_key"), F.col("items").alias("p_items")))
     weight = pivot_sets.agg(F.coalesce(F.sum(F.size("p_items").cast("long") + 8), F.lit(0))).first()[0]
@@ -384,25 +392,33 @@ def _pivot_links(rows: DataFrame, floor: float, percent: int) -> DataFrame:
     return both.repartition("deal").sortWithinPartitions("deal", "meets").mapInArrow(run, "a binary, b binary")
 
 
-def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the components that ``links`` make of theirs."""
-    joined = materialize(components(links).select(F.col("key").alias("comp"), F.col("comp").alias("to")))
-    return rows.join(broadcast_if_small(joined), "comp", "left").withColumn("comp", F.coalesce("to", "comp")).drop("to")
+def _relabelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with the components ``joined(key, comp)`` that theirs are part of by now."""
+    to = joined.select(F.col("key").alias("comp"), F.col("comp").alias("to"))
+    return rows.join(broadcast_if_small(to), "comp", "left").withColumn("comp", F.coalesce("to", "comp")).drop("to")
+
+
+def _with_joined(comps: DataFrame | None, joined: DataFrame) -> DataFrame:
+    """``comps(key, comp)`` after ``joined``, components of its components and of keys it does not hold."""
+    if comps is None:
+        return joined
+    further = joined.join(broadcast_if_small(comps.select("key")), "key", "left_anti")
+    return _relabelled(comps, joined).select("key", "comp").unionByName(further)
 
 
-def _settled_links(rows: DataFrame, sets: DataFrame, links: DataFrame, tree: int, floor: float, percent: int) -> DataFrame | None:
-    """Further links in nodes that stay large, once each ``links`` of the tree is known.
+def _settled(rows: DataFrame, sets: DataFrame, joined: DataFrame, tree: int, floor: float, percent: int) -> list[DataFrame]:
+    """What is connected further in nodes that stay large, once ``joined`` by the tree's other links: a table a round.
 
     In each round of a node, loose sets that have not been pivots yet, those next in the order
     of a hash, meet all sets of the node.  It ends when none is left, so two sets that are still
     apart have been compared.  Rounds grow, and are linear in the node's rows; a node of copies
     is connected after few, one of different sets takes ``loose x all`` comparisons of sketches.
     """
-    rows = _dealt(_relabelled(rows, links)).select("node", "key", "comp", "sketch")
+    rows = _dealt(_relabelled(rows, joined)).select("node", "key", "comp", "sketch")
     sizes = sets.select("key", F.size("items").cast("long").alias("n_items"))
     turn = F.pmod(F.xxhash64("key", "node", F.lit(tree)), F.lit(1 << 30)) / float(1 << 30)
     rows = rows.join(sizes, "key").withColumns({"turn": turn, "met": F.lit(0.0)})
-    many, own, all_links = NODE_ROWS, None, None
+    many, own, rounds = NODE_ROWS, None, []
     while True:
         rows = materialize(rows)
         waits = F.sum((F.col("turn") >= F.col("met")).cast("long"))
@@ -414,16 +430,15 @@ def _settled_links(rows: DataFrame, sets: DataFrame, links: DataFrame, tree: int
         parts = F.ceil(F.greatest(F.col("all") / PART_ROWS, F.col("items") / PART_ITEMS)).cast("int")
         nodes = materialize(nodes.select("node", "left", F.col("top.comp").alias("top"), parts.alias("parts")))
         if nodes.isEmpty():
-            return all_links
+            return rounds
         to = F.when(F.col("left") <= many, F.lit(1.0)).otherwise(F.col("met") + (1 - F.col("met")) * many / F.col("left"))
         rows = rows.join(broadcast_if_small(nodes), "node").withColumn("to", to)
         pivot = (F.col("comp") != F.col("top")) & (F.col("turn") >= F.col("met")) & (F.col("turn") < F.col("to"))
         if own is None:
             own = materialize(sets.join(broadcast_if_small(rows.select("key").distinct()), "key", "left_semi").select("key", "items"))
         chosen = rows.withColumn("pivot", pivot).select("node", "parts", "key", "comp", "sketch", "pivot").join(own, "key")
-        found = materialize(_pivot_links(chosen, floor, percent))
-        all_links = found if all_links is None else all_links.unionByName(found)
-        rows = _relabelled(rows.select("node", "key", "comp", "sketch", "n_items", "turn", F.col("to").alias("met")), found)
+        rounds.append(materialize(components(_pivot_links(chosen, floor, percent))))
+        rows = _relabelled(rows.select("node", "key", "comp", "sketch", "n_items", "turn", F.col("to").alias("met")), rounds[-1])
         many = min(8 * many, PART_ROWS)
 
 
@@ -442,7 +457,8 @@ def _dealt(rows: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``(key, comp)`` of every key in ``links(a, b)``; comp is the least key that is connected.
 
-    Large-star and small-star steps in turn until nothing changes.
+    Large-star and small-star steps in turn until nothing changes.  While there are few edges, the least
+    neighbours are broadcast, and both steps are one job that shuffles for its sums alone.
     """
 
     def state(edges: DataFrame) -> tuple:
@@ -451,12 +467,15 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     before = state(edges)
     while before[0]:
+        few = 2 * before[0] <= BROADCAST_ROW_LIMIT
+        held = F.broadcast if few else lambda df: df
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = materialize(large)
+        # As many rows as edges, so equal ones may wait for the next distinct().
+        large = both.filter("b > a").join(held(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large if few else materialize(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        small = large.join(held(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         after = state(edges)
         if after == before:
@@ -467,8 +486,8 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, percent: int) -> DataFrame:
-    """Links of one tree between components, each with labels of the components."""
+def _tree_comps(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree: int, percent: int) -> DataFrame:
+    """``comps(key, comp)`` after the links of one tree; each link goes into components once."""
     floor = percent / 100 - MARGIN
     rows = reps.select("key", "sketch")
     if comps is None:
@@ -505,12 +524,12 @@ def _tree_links(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    links = materialize(links.distinct())
+    joined = materialize(components(links))
+    comps = _with_joined(comps, joined)
     if not large.isEmpty():
-        further = _settled_links(large, sets, links, tree, floor, percent)
-        if further is not None:
-            links = links.unionByName(further)
-    return links
+        for further in _settled(large, sets, joined, tree, floor, percent):
+            comps = _with_joined(comps, further)
+    return materialize(comps)
 
 
 def near_duplicates(
@@ -531,14 +550,11 @@ def near_duplicates(
     # One set of each key: equal keys have equal sets, so any row with the smallest id will do.
     sets = named.select("key", "id", "items")
     repeated = reps.filter("copies > 1").select("key", F.col("id").alias("first_id"))
-    comps, links = None, None
+    comps = None
     chosen = sets.join(broadcast_if_small(repeated), "key", "left")
     chosen = chosen.filter(F.col("first_id").isNull() | F.col("id").eqNullSafe(F.col("first_id"))).select("key", "items")
     for tree in range(trees):
-        more = _tree_links(reps, chosen, comps, tree, percent)
-        links = more if links is None else links.unionByName(more)
-        if tree == trees - 1 or not more.isEmpty():
-            comps = materialize(components(links))
+        comps = _tree_comps(reps, chosen, comps, tree, percent)
         _released(df)
     groups = reps.join(broadcast_if_small(comps), "key", "left").select("key", "id", "copies", F.coalesce("comp", "key").alias("comp"), F.col("comp").isNotNull().alias("linked"))
     several = groups.filter("linked OR copies > 1")

@@ -121,3 +121,58 @@ def test_star_of_over_a_thousand_copies(spark):
     assert sum(c == 0 for _, _, c in want) > 1_000
     rows = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == want
+
+
+def test_links_go_into_components_once(spark, monkeypatch, docs):
+    """Neither a later tree nor the end of a tree connects again what is connected already."""
+    seen, inner = [], N.components
+
+    def components(links):
+        seen.extend({(bytes(min(r)), bytes(max(r))) for r in links.select("a", "b").collect()})
+        return inner(links)
+
+    monkeypatch.setattr(N, "NODE_ROWS", 40)
+    monkeypatch.setattr(N, "components", components)
+    assert N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).count() == len(docs)
+    assert len(seen) > 100 and len(set(seen)) == len(seen)
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_components_by_either_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(N, "BROADCAST_ROW_LIMIT", limit)
+    rng = random.Random(3)
+    edges = [(f"v{rng.randrange(300):03}", f"v{rng.randrange(300):03}") for _ in range(240)] + [("v000", f"v{i:03}") for i in range(290, 300)]
+    up = {v: v for e in edges for v in e}
+
+    def root(v):
+        return v if up[v] == v else root(up[v])
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    got = {r["key"]: r["comp"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {v: root(v) for e in edges if e[0] != e[1] for v in e}
+
+
+def test_components_of_components(spark):
+    def frame(rows):
+        return spark.createDataFrame(rows, "key string, comp string")
+
+    first = frame([("a", "a"), ("b", "a"), ("d", "c"), ("c", "c")])
+    then = frame([("c", "a"), ("a", "a"), ("f", "e"), ("e", "e")])
+    assert N._with_joined(None, first) is first
+    got = {r["key"]: r["comp"] for r in N._with_joined(first, then).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "a", "e": "e", "f": "e"}
+    assert N._with_joined(first, then).count() == 6
+
+
+def test_a_set_is_one_row_however_many_pivots_it_meets(spark):
+    rng = random.Random(5)
+    sketch = bytes(rng.randrange(256) for _ in range(4 * N.COORDINATES))
+    sets = [(7, 300, bytes([0, i]), bytes([0, i]), sketch) for i in range(200)] + [(7, 300, bytes([1, i]), b"x", bytes(4 * N.COORDINATES)) for i in range(100)]
+    rows = spark.createDataFrame(sets, "node long, all long, key binary, comp binary, sketch binary")
+    found = N._near_pivots(rows, rows.filter("key < X'0008'"), 0.7).collect()
+    assert sorted(bytes(r["key"]) for r in found) == [bytes([0, i]) for i in range(200)]
+    for r in found:
+        own = bytes(r["key"])
+        assert sorted((bytes(p["p_key"]), bytes(p["p_comp"])) for p in r["pivots"]) == [(bytes([0, k]),) * 2 for k in range(8) if bytes([0, k]) != own]
