@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelflow.llm.tokens import slices
-from panelflow.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
+from panelflow.session import BROADCAST_ROW_LIMIT, arrow_rows, broadcast_if_small, materialize
 
 COORDINATES = 128
 TREES, ROOTS, BRANCHES = 2, 4, 2
@@ -47,7 +47,7 @@ SALTS = 64
 PART_ROWS, PART_ITEMS = 4096, 2_000_000
 # Shingles of all pivots that are sent to every task: 8 MB.
 PIVOT_ITEMS = 1_000_000
-# Words whose hashes a Python worker remembers; others are hashed each time. Rows read at once.
+# Words whose hashes a Python worker remembers; others are hashed each time. Rows with texts or sets that are read at once.
 HELD_WORDS, TEXT_ROWS = 100_000, 1000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -532,18 +532,8 @@ def _tree_comps(reps: DataFrame, sets: DataFrame, comps: DataFrame | None, tree:
     return materialize(comps)
 
 
-def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, trees: int = TREES
-) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` of every row.
-
-    Rows are linked if their sets of ``words``-word shingles have ``100 * shared >= percent *
-    union``; ``component_id`` is the smallest id reachable over links, ``kept`` marks it.  Words
-    are runs of other than ``[\\x20\\x09-\\x0D]``, A-Z lower-cased; a text of fewer words is one
-    shingle.  A null text or one without words has an empty set and is linked with nothing.
-    Rows of equal sets are one set from the start.  A null id is a component's id only where
-    all its ids are null; rows that repeat an id are flagged alike.
-    """
+def _connected(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """All rows with their sets, distinct sets, and the components of these; all written."""
     table = materialize(shingled(df, id_col, text_col, words))
     named = table.filter("key IS NOT NULL")
     reps = materialize(named.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("sketch").alias("sketch")))
@@ -556,6 +546,23 @@ def near_duplicates(
     for tree in range(trees):
         comps = _tree_comps(reps, chosen, comps, tree, percent)
         _released(df)
+    return table, reps, comps
+
+
+def near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, trees: int = TREES
+) -> DataFrame:
+    """``(id, n_shingles, component_id, kept)`` of every row.
+
+    Rows are linked if their sets of ``words``-word shingles have ``100 * shared >= percent *
+    union``; ``component_id`` is the smallest id reachable over links, ``kept`` marks it.  Words
+    are runs of other than ``[\\x20\\x09-\\x0D]``, A-Z lower-cased; a text of fewer words is one
+    shingle.  A null text or one without words has an empty set and is linked with nothing.
+    Rows of equal sets are one set from the start.  A null id is a component's id only where
+    all its ids are null; rows that repeat an id are flagged alike.
+    """
+    with arrow_rows(df.sparkSession, TEXT_ROWS):
+        table, reps, comps = _connected(df, id_col, text_col, words, percent, trees)
     groups = reps.join(broadcast_if_small(comps), "key", "left").select("key", "id", "copies", F.coalesce("comp", "key").alias("comp"), F.col("comp").isNotNull().alias("linked"))
     several = groups.filter("linked OR copies > 1")
     least = several.groupBy("comp").agg(F.min("id").alias("component_id"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -87,6 +89,21 @@ def rows_up_to(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> int | None
     return n if n <= max_rows else None
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python tasks of jobs that run inside get at most ``rows`` rows at once, for rows of long arrays or texts.
+
+    Spark's 10,000 of them are held by the JVM and by Python at the same time, in every task.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own, now = spark.conf.get(name, None), int(spark.conf.get(name))
+    spark.conf.set(name, min(rows, now) if now > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only after counting it; otherwise leave the join to shuffle."""
     return df if rows_up_to(df, max_rows) is None else F.broadcast(df)

@@ -176,3 +176,14 @@ def test_a_set_is_one_row_however_many_pivots_it_meets(spark):
     for r in found:
         own = bytes(r["key"])
         assert sorted((bytes(p["p_key"]), bytes(p["p_comp"])) for p in r["pivots"]) == [(bytes([0, k]),) * 2 for k in range(8) if bytes([0, k]) != own]
+
+
+def test_few_sets_are_held_at_once(spark, monkeypatch, docs):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, inner = spark.conf.get(name), set(), N.materialize
+    monkeypatch.setattr(N, "TEXT_ROWS", 13)
+    monkeypatch.setattr(N, "materialize", lambda df: (seen.add(spark.conf.get(name)), inner(df))[1])
+    df = spark.createDataFrame(docs[-90:], "doc_id long, text string")
+    rows = N.near_duplicates(df, words=3, percent=85)
+    assert "13" in seen and spark.conf.get(name) == before
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows.collect()), key=str) == brute(docs[-90:], 3, 85)
