@@ -108,21 +108,14 @@ def read_raw_pages(spark, sf):
     """Pages written one per file, and a manifest of them; both read back and joined."""
     folder = scratch_path(spark, "raw")
     pages = frontier.page_size(B.raw_pages(spark, sf))
-    # One partition value per page gives one file per page, as a crawler would leave it.
-    pages.select(F.col("html").alias("value"), F.col("page_id").alias("page")).write.partitionBy("page").text(
-        f"{folder}/html", lineSep="\n"
-    )
-    stored = (
-        spark.read.text(f"{folder}/html", wholetext=True)
-        .select(F.col("page").alias("page_id"), F.col("_metadata.file_path").alias("html_path"))
-    )
+    stored = files.write_raw_pages(pages, f"{folder}/html")
     manifest = pages.join(stored, "page_id").select(
         "title", "url", "published", "source", stored["html_path"], "html_size"
     )
     files.write_json_report(manifest, f"{folder}/manifest")
     manifest = files.read_manifest(spark, f"{folder}/manifest", lines=True)
     read = files.read_raw_pages(spark, f"{folder}/html/*", manifest, depth=2)
-    # The text sink ends every file with one line break.
+    # Every stored page ends with one line break.
     return read.select("url", "html_size", (F.char_length("html") - 1).alias("text_size"))
 
 

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from itertools import count, groupby, islice
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelflow import schemas
+from panelflow.session import arrow_rows, materialize
+
+# Stored pages of one folder: folders are listed in parallel, the files of one by one task.
+PAGES_PER_FOLDER = 1000
+
+# Bytes of small files that one task reads.
+TASK_BYTES = 16 << 20
+
+# Names of files that Hadoop's codecs unpack.
+PACKED = ("bz2", "deflate", "gz", "lz4", "snappy", "zst")
 
 
 def read_panel_csv(spark: SparkSession, path: str | list[str], schema: str = schemas.PANEL) -> DataFrame:
@@ -70,19 +84,85 @@ def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     return document.select(F.explode(both).alias("page")).select("page.*")
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """Where Python finds ``path``; ``None`` if it is in a store that only Spark writes to."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return at.toUri().getPath() if store.getUri().getScheme() == "file" else None
+
+
+def write_raw_pages(pages: DataFrame, path: str) -> DataFrame:
+    """Pages (``page_id``, ``html``) stored one per file, two levels below ``path``, as a crawler
+    leaves them; gives ``page_id`` and ``html_path`` of every file.
+
+    Every page ends with one line break; rows of one id share a file if they come to one task.
+    In a mounted folder the tasks make the files themselves, since Hadoop's local file system
+    starts a process for each permission it sets.  A file gets its name when it is whole, so a
+    task that runs again replaces what it left.
+    """
+    spark = pages.sparkSession
+    folder = _local_folder(spark, path)
+    if folder is None:
+        # One partition value per page gives one file per page.
+        named = pages.select(F.col("html").alias("value"), F.col("page_id").alias("page"))
+        named.write.partitionBy("page").text(path, lineSep="\n")
+        return spark.read.text(path, wholetext=True).select(
+            F.col("page").alias("page_id"), F.col("_metadata.file_path").alias("html_path")
+        )
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        pages = groupby(rows, itemgetter(0))
+        for k in count():
+            below, stored = f"{task.partitionId():05d}-{k:05d}", []
+            for page_id, same in islice(pages, PAGES_PER_FOLDER):
+                if not stored:
+                    os.makedirs(f"{folder}/{below}", exist_ok=True)
+                name = f"{page_id}.html"
+                unfinished = f"{folder}/{below}/.{name}.{task.taskAttemptId()}"
+                with open(unfinished, "wb") as file:
+                    for _, html in same:
+                        file.write((html or b"") + b"\n")
+                os.replace(unfinished, f"{folder}/{below}/{name}")
+                stored.append((page_id, f"{path}/{below}/{name}"))
+            if not stored:
+                return
+            ids, paths = zip(*stored)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(paths, pa.string())], names=["page_id", "html_path"])
+
+    slim = pages.select(F.col("page_id").cast("long"), F.col("html").cast("binary")).sortWithinPartitions("page_id")
+    with arrow_rows(spark, 1000):
+        return materialize(slim.mapInArrow(run, "page_id long, html_path string"))
+
+
 def _path_end(path: Column, depth: int) -> Column:
     return F.substring_index(path, "/", -depth)
 
 
+def _tasks(files: DataFrame) -> int:
+    """Tasks for many small files by their bytes: Spark counts 4 MB for each, so 32 files make a task."""
+    size = int(str(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(4 * files.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def read_raw_pages(
     spark: SparkSession, html_glob: str, manifest: DataFrame, depth: int = 1
 ) -> DataFrame:
     """Manifest records joined to their stored HTML; records without a file are skipped.
 
-    Manifest paths may be relative, so the last ``depth`` path segments are compared.
+    Manifest paths may be relative, so the last ``depth`` path segments are compared.  Files
+    come as bytes, since the text reader copies the Hadoop settings for each of them; only
+    those that it unpacks are left to it.
     """
-    files = spark.read.text(html_glob, wholetext=True).select(
-        F.col("value").alias("html"), _path_end(F.col("_metadata.file_path"), depth).alias("_end")
+    path = F.col("_metadata.file_path")
+    packed = spark.read.option("pathGlobFilter", f"*.{{{','.join(PACKED)}}}").text(html_glob, wholetext=True)
+    stored = spark.read.format("binaryFile").load(html_glob)
+    plain = stored.filter(~path.rlike(rf"\.({'|'.join(PACKED)})$")).coalesce(_tasks(stored))
+    files = plain.select(F.col("content").cast("string").alias("html"), _path_end(path, depth).alias("_end")).unionAll(
+        packed.select("value", _path_end(path, depth))
     )
     named = manifest.withColumn("_end", _path_end(F.col("html_path"), depth))
     return named.join(files, "_end").drop("_end")

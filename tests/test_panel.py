@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 
 import pytest
 from helpers import column, plan, rows
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelflow import schemas
 from panelflow.operators import catalog, frontier, panel, quality, timeseries
+from panelflow.plans import QUERIES, source_queries
 from panelflow.session import scratch_path
 from panelflow.sources import files, indicators
 
@@ -352,6 +354,54 @@ def test_manifest_joins_files_by_name(spark, tmp_path):
     assert rows(pages.select("url", "html")) == [("u", "<p>\nA</p>")]
 
 
+def test_packed_pages_are_unpacked_and_bytes_kept(spark, tmp_path):
+    (tmp_path / "raw html").mkdir()
+    texts = {"a.html": b"<p>\nA\r\n\xc3\xa9</p>", "b.html": b"\xef\xbb\xbfq\xff", "c.html.gz": b"packed", "dgz": b"no name of a packed file"}
+    for name, text in texts.items():
+        (tmp_path / "raw html" / name).write_bytes(gzip.compress(text) if name.endswith(".gz") else text)
+    manifest = spark.createDataFrame([(n, f"data/{n}") for n in [*texts, "none"]], "url STRING, html_path STRING")
+    pages = files.read_raw_pages(spark, str(tmp_path / "raw html" / "*"), manifest)
+    assert {r["url"]: bytes(r["html"]) for r in pages.withColumn("html", F.col("html").cast("binary")).collect()} == texts
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for i in range(2000):
+        (tmp_path / f"{i}.html").write_text("x")
+    manifest = spark.createDataFrame([(f"{i}.html",) for i in range(3)], "html_path STRING")
+    pages = files.read_raw_pages(spark, str(tmp_path / "*.html"), manifest)
+    assert pages.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + 1
+    assert rows(pages.orderBy("html_path")) == [(f"{i}.html", "x") for i in range(3)]
+
+
+def test_stored_pages_share_folders(spark, tmp_path, monkeypatch):
+    pages = [(i, f"https://a.example/{i}", "é\n" * i) for i in range(40)]
+    spark.createDataFrame(pages, "page_id BIGINT, url STRING, html STRING").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(source_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    got = rows(QUERIES["read_raw_pages"](spark, str(tmp_path)))
+    assert sorted(got) == sorted((url, 3 * i, 2 * i) for i, url, _ in pages)
+    stored = [p for p in (tmp_path / "raw" / "html").rglob("*") if p.is_file() and not p.name.startswith((".", "_"))]
+    assert len(stored) == 40
+    assert len({p.parent for p in stored}) <= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_every_page_is_stored_in_a_file(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(files, "_local_folder", lambda spark, path: None)
+    monkeypatch.setattr(files, "PAGES_PER_FOLDER", 3)
+    pages = [(1, "a\nb"), (7, None), *((i, "é" * i) for i in range(10, 18)), (1, "again")]
+    path = str(tmp_path / "html")
+    stored = files.write_raw_pages(spark.createDataFrame(pages, "page_id BIGINT, html STRING").coalesce(1), path)
+    # Rows of one id in one task share a file.
+    assert sorted(column(stored, "page_id")) == [1, 7, *range(10, 18)]
+    back = files.read_raw_pages(spark, f"{path}/*", stored, depth=2).select("page_id", "html")
+    html = dict(rows(back))
+    assert sorted(html.pop(1).split("\n")) == ["", "a", "again", "b"]
+    assert html == {7: "\n"} | {i: "é" * i + "\n" for i in range(10, 18)}
+    if mounted:
+        assert len([p for p in (tmp_path / "html").iterdir() if p.is_dir()]) == 4
+
+
 def test_feeds(spark, tmp_path):
     (tmp_path / "news.xml").write_text(
         "<rss><channel><title>t</title><item><title>A</title><link>u</link><pubDate>Mon, 01 Jan 2024 06:00:00 +0200</pubDate></item>"
