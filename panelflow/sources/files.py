@@ -158,12 +158,14 @@ def read_raw_pages(
     those that it unpacks are left to it.
     """
     path = F.col("_metadata.file_path")
-    packed = spark.read.option("pathGlobFilter", f"*.{{{','.join(PACKED)}}}").text(html_glob, wholetext=True)
     stored = spark.read.format("binaryFile").load(html_glob)
-    plain = stored.filter(~path.rlike(rf"\.({'|'.join(PACKED)})$")).coalesce(_tasks(stored))
-    files = plain.select(F.col("content").cast("string").alias("html"), _path_end(path, depth).alias("_end")).unionAll(
-        packed.select("value", _path_end(path, depth))
-    )
+    packed = path.rlike(rf"\.({'|'.join(PACKED)})$")
+    plain = stored.filter(~packed).coalesce(_tasks(stored))
+    files = plain.select(F.col("content").cast("string").alias("html"), _path_end(path, depth).alias("_end"))
+    # Spark leaves out files by their path when it plans, so this reads none.
+    if stored.filter(packed).rdd.getNumPartitions():
+        unpacked = spark.read.text(html_glob, wholetext=True).filter(packed)
+        files = files.unionAll(unpacked.select("value", _path_end(path, depth)))
     named = manifest.withColumn("_end", _path_end(F.col("html_path"), depth))
     return named.join(files, "_end").drop("_end")
 
