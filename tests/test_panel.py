@@ -368,7 +368,7 @@ def test_small_files_are_read_by_few_tasks(spark, tmp_path):
     for i in range(2000):
         (tmp_path / f"{i}.html").write_text("x")
     manifest = spark.createDataFrame([(f"{i}.html",) for i in range(3)], "html_path STRING")
-    pages = files.read_raw_pages(spark, str(tmp_path / "*.html"), manifest)
+    pages = files.read_raw_pages(spark, str(tmp_path / "*.html"), F.broadcast(manifest))
     assert pages.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + 1
     assert rows(pages.orderBy("html_path")) == [(f"{i}.html", "x") for i in range(3)]
 
